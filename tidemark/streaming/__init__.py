@@ -1,0 +1,6 @@
+"""Structured Streaming entry points.
+
+The reference workload is batch.  Its ingest step is stateless per line,
+so the same parsers run unchanged on a streaming text source: see
+:mod:`tidemark.streaming.ingest_stream`.
+"""
