@@ -17,9 +17,11 @@ def epoch_seconds(df: DataFrame, col: str) -> Column:
     """
     dtype = df.schema[col].dataType
     if isinstance(dtype, T.TimestampNTZType):
-        micros = (f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00',"
-                  f" `{col}`)")
-        return F.expr(f"({micros} - pmod({micros}, 1000000)) div 1000000")
+        # Calendar fields of a timestamp_ntz are zone-free; casts to
+        # timestamp (as timestampdiff does) would shift by the session zone.
+        c = F.col(col)
+        return (F.unix_date(c.cast("date")).cast("bigint") * 86400
+                + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c))
     c = F.col(col)
     if isinstance(dtype, T.StringType):
         c = c.try_cast("timestamp")

@@ -41,6 +41,17 @@ def reconcile(before: DataFrame, after: DataFrame, name_in: str = "n_in",
             .withColumn("matched", F.col(name_in) == F.col(name_out)))
 
 
+def before_after_counts(before: DataFrame, after: DataFrame, by: str,
+                        name_in: str = "n_before",
+                        name_out: str = "n_after") -> DataFrame:
+    """Rows per value of ``by`` before and after a step, in one aggregate."""
+    side = "_tm_side"
+    both = (before.select(by, F.lit(0).alias(side))
+            .unionByName(after.select(by, F.lit(1).alias(side))))
+    return both.groupBy(by).agg(F.count_if(F.col(side) == 0).alias(name_in),
+                                F.count_if(F.col(side) == 1).alias(name_out))
+
+
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct()
 

@@ -59,6 +59,18 @@ def latest_date(df: DataFrame, date_col: str = DATE_COL) -> DataFrame:
         "previous_dt", F.date_sub(F.col("latest_dt"), 1))
 
 
+def previous_available_date(df: DataFrame, date_col: str = DATE_COL) -> DataFrame:
+    """One row: the latest date before the latest one (``previous_dt``).
+
+    Distinct dates are bounded by the calendar; the latest date is a
+    one-row frame, so broadcasting it is safe.
+    """
+    dates = df.select(F.col(date_col).alias("_tm_d")).distinct()
+    last = dates.agg(F.max("_tm_d").alias("_tm_last"))
+    return (dates.join(F.broadcast(last), F.col("_tm_d") < F.col("_tm_last"))
+            .agg(F.max("_tm_d").alias("previous_dt")))
+
+
 def latest_date_value(df: DataFrame, date_col: str = DATE_COL) -> _dt.date:
     """The latest date as a Python value (for pruning a later scan)."""
     value = df.agg(F.max(date_col)).first()[0]
