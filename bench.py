@@ -42,9 +42,11 @@ def main() -> None:
     spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * int(cpus)),
                           app="tidemark-bench")
     spark.sparkContext.setLogLevel("ERROR")
-    # Warm-up (JIT, class loading) on the smallest data; not timed.
-    registry.QUERIES["quote_trade_analytics"](spark, "/root/testdata/sf0.001") \
-        .write.format("noop").mode("overwrite").save()
+    # Warm-up (JIT, class loading, code generation) on the smallest data;
+    # not timed.
+    for name in HEADLINE:
+        registry.QUERIES[name](spark, "/root/testdata/sf0.001") \
+            .write.format("noop").mode("overwrite").save()
     times = {}
     for name in HEADLINE:
         t0 = time.time()

@@ -76,9 +76,9 @@ def test_moving_average_matches_whole_key_window(spark, bucket):
         naive.rows(naive.naive_moving_average(trades, keys), cols)
 
 
-@pytest.mark.parametrize("bucket", [1, 60, 3600])
+@pytest.mark.parametrize("bucket", [1, 60, 3600, "auto"])
 def test_forward_fill_matches_whole_key_window(spark, bucket):
-    trades, quotes = _random_market(spark, 300, 300, seed=10 + bucket)
+    trades, quotes = _random_market(spark, 300, 300, seed=10 + len(str(bucket)))
     keys = list(series.DEFAULT_KEYS)
     tl = series.timeline(naive.naive_moving_average(trades, keys), quotes)
     fills = {"last_trade_pr": "trade_pr", "last_mov_avg_pr": "mov_avg_pr"}
@@ -89,9 +89,10 @@ def test_forward_fill_matches_whole_key_window(spark, bucket):
 
 
 @pytest.mark.parametrize("bucket,ts_type", [(1, "timestamp_ntz"), (60, "timestamp"),
-                                            (900, "timestamp_ntz"), (7200, "timestamp")])
+                                            (900, "timestamp_ntz"), (7200, "timestamp"),
+                                            ("auto", "timestamp_ntz")])
 def test_enrich_quotes_matches_reference_formulation(spark, bucket, ts_type):
-    trades, quotes = _random_market(spark, 500, 500, seed=bucket, ts_type=ts_type)
+    trades, quotes = _random_market(spark, 500, 500, seed=len(str(bucket)), ts_type=ts_type)
     keys = list(series.DEFAULT_KEYS)
     close = analytics.previous_close(trades, keys)
     got = analytics.enrich_quotes(trades, quotes, close, keys, bucket_seconds=bucket)
@@ -146,3 +147,15 @@ def test_flagship_plan_shuffles_events_once(spark):
     left = smj.split("\n")[1]
     assert "Project" in left or "Window" in left or "Filter" in left
     assert plan.count("hashpartitioning(_tm_part") == 2
+
+
+def test_auto_bucket_width_follows_density(spark):
+    from tidemark.operators.series import SEC, bucket_width
+    dense = spark.range(100_000).selectExpr("'A' as symbol", "id div 10 as " + SEC)
+    sparse = spark.range(100).selectExpr("'A' as symbol", "id * 1000 as " + SEC)
+    w_dense = spark.range(1).select(bucket_width([dense], ["symbol"], rows_per_bucket=1000)
+                                    .alias("w")).first().w
+    w_sparse = spark.range(1).select(bucket_width([sparse], ["symbol"], rows_per_bucket=1000)
+                                     .alias("w")).first().w
+    assert w_dense == 100          # 10 rows per second -> 1000 rows per 100 s
+    assert w_sparse == 86_400      # clamped to one day

@@ -35,7 +35,7 @@ from tidemark.functions.timecols import bucket_of, epoch_seconds
 from tidemark.operators import latest
 from tidemark.operators.series import (
     BUCKET, BUCKET_SECONDS, DEFAULT_KEYS, MOVING_AVERAGE_SECONDS, PART, SEC,
-    per_second_stats, rolling_average)
+    bucket_width, per_second_stats, rolling_average)
 
 _KIND = "_tm_kind"      # 0 = per-second average marker, 1 = trade or quote
 
@@ -109,7 +109,7 @@ def enrich_quotes(trades: DataFrame, quotes: DataFrame,
                   keys: Sequence[str] = DEFAULT_KEYS,
                   time: str = "event_tm", seq: str = "event_seq_nb",
                   window_seconds: int = MOVING_AVERAGE_SECONDS,
-                  bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+                  bucket_seconds: int | str = BUCKET_SECONDS) -> DataFrame:
     """The quote-trade analytical table: one row per quote.
 
     ``trades``: keys, time, seq, ``trade_pr``; ``quotes``: keys, time, seq,
@@ -120,43 +120,43 @@ def enrich_quotes(trades: DataFrame, quotes: DataFrame,
     Output columns: :data:`tidemark.schema.ANALYTIC_COLUMNS`.
     """
     keys = list(keys)
-    ts_type = trades.schema[time].dataType
-    null = lambda t: F.lit(None).cast(t)
+    ts_sql = trades.schema[time].dataType.simpleString()
+    q_sec = epoch_seconds(quotes, time)
+    t_sec = epoch_seconds(trades, time)
     extra = [c for c in ("trade_dt",) if c not in keys]
+    k_sql = [f"`{k}`" for k in keys]
+    null_extra = [f"cast(null as date) as `{c}`" for c in extra]
 
     # (1) per-second statistics and the trailing average per second.
     stats = rolling_average(per_second_stats(trades, keys, time, seq),
                             keys, window_seconds)
 
-    # (2) one timeline: markers, trades, quotes.
-    body = lambda: [
-        null("string").alias("rec_type"), null(ts_type).alias(time),
-        null("bigint").alias(seq), null("double").alias("bid_pr"),
-        null("bigint").alias("bid_size"), null("double").alias("ask_pr"),
-        null("bigint").alias("ask_size"), null("double").alias("trade_pr"),
-        null("int").alias("rec_sort")]
-    markers = stats.select(
-        *keys, *[null("date").alias(c) for c in extra], SEC,
-        F.lit(0).alias(_KIND), F.col("_tm_avg"), *body())
-    t = trades.select(
-        *keys, *[null("date").alias(c) for c in extra],
-        epoch_seconds(trades, time).alias(SEC), F.lit(1).alias(_KIND),
-        null("double").alias("_tm_avg"), F.lit("T").alias("rec_type"),
-        F.col(time), F.col(seq), null("double").alias("bid_pr"),
-        null("bigint").alias("bid_size"), null("double").alias("ask_pr"),
-        null("bigint").alias("ask_size"),
-        F.col("trade_pr").cast("double").alias("trade_pr"),
-        F.lit(0).alias("rec_sort"))
-    q = quotes.select(
-        *keys, *extra, epoch_seconds(quotes, time).alias(SEC),
-        F.lit(1).alias(_KIND), null("double").alias("_tm_avg"),
-        F.lit("Q").alias("rec_type"), F.col(time).cast(ts_type).alias(time),
-        F.col(seq), "bid_pr", "bid_size", "ask_pr", "ask_size",
-        null("double").alias("trade_pr"), F.lit(1).alias("rec_sort"))
-    cols = markers.columns
-    events = (markers.unionByName(t.select(*cols)).unionByName(q.select(*cols))
-              .withColumn(BUCKET, bucket_of(F.col(SEC), bucket_seconds))
-              .withColumn(PART, F.struct(*keys, BUCKET)))
+    # (2) one timeline: markers, trades, quotes (SQL projections: one
+    # round trip per column while the plan is built).
+    markers = stats.selectExpr(
+        *k_sql, *null_extra, SEC, f"0 as {_KIND}", "_tm_avg",
+        "cast(null as string) as rec_type", f"cast(null as {ts_sql}) as `{time}`",
+        f"cast(null as bigint) as `{seq}`", "cast(null as double) as bid_pr",
+        "cast(null as bigint) as bid_size", "cast(null as double) as ask_pr",
+        "cast(null as bigint) as ask_size", "cast(null as double) as trade_pr",
+        "cast(null as int) as rec_sort")
+    t = trades.select(*keys, time, seq, "trade_pr", t_sec.alias(SEC)).selectExpr(
+        *k_sql, *null_extra, SEC, f"1 as {_KIND}", "cast(null as double) as _tm_avg",
+        "'T' as rec_type", f"`{time}`", f"`{seq}`", "cast(null as double) as bid_pr",
+        "cast(null as bigint) as bid_size", "cast(null as double) as ask_pr",
+        "cast(null as bigint) as ask_size", "cast(trade_pr as double) as trade_pr",
+        "0 as rec_sort")
+    q = quotes.select(*keys, *extra, time, seq, "bid_pr", "bid_size", "ask_pr",
+                      "ask_size", q_sec.alias(SEC)).selectExpr(
+        *k_sql, *[f"`{c}`" for c in extra], SEC, f"1 as {_KIND}",
+        "cast(null as double) as _tm_avg", "'Q' as rec_type",
+        f"cast(`{time}` as {ts_sql}) as `{time}`", f"`{seq}`", "bid_pr", "bid_size",
+        "ask_pr", "ask_size", "cast(null as double) as trade_pr", "1 as rec_sort")
+    width = bucket_width([t, q], keys, bucket_seconds)
+    events = (markers.unionByName(t).unionByName(q)
+              .withColumns({BUCKET: bucket_of(F.col(SEC), width),
+                            PART: F.struct(*keys, bucket_of(F.col(SEC), width)
+                                           .alias(BUCKET))}))
 
     w = (Window.partitionBy(PART).orderBy(SEC, _KIND, time, seq, "rec_sort")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -175,18 +175,18 @@ def enrich_quotes(trades: DataFrame, quotes: DataFrame,
 
     # (3) carry table: values from earlier buckets, and the close.
     per_bucket = stats.select(
-        *keys, bucket_of(F.col(SEC), bucket_seconds).alias(BUCKET),
+        *keys, bucket_of(F.col(SEC), width).alias(BUCKET),
         F.col("_tm_last"),
         F.when(F.col("_tm_avg").isNotNull(),
                F.struct(F.col(SEC).alias("s"), F.col("_tm_avg").alias("v")))
         .alias("_tm_avg_last"))
-    quote_buckets = (quotes.select(
-        *keys, bucket_of(epoch_seconds(quotes, time), bucket_seconds).alias(BUCKET))
-        .distinct()
-        .select(*keys, BUCKET, null(per_bucket.schema["_tm_last"].dataType)
-                .alias("_tm_last"),
-                null(per_bucket.schema["_tm_avg_last"].dataType)
-                .alias("_tm_avg_last")))
+    quote_buckets = (quotes.select(*keys, bucket_of(q_sec, width).alias(BUCKET))
+                     .distinct()
+                     .select(*keys, BUCKET,
+                             F.lit(None).cast(per_bucket.schema["_tm_last"].dataType)
+                             .alias("_tm_last"),
+                             F.lit(None).cast(per_bucket.schema["_tm_avg_last"].dataType)
+                             .alias("_tm_avg_last")))
     buckets = (per_bucket.unionByName(quote_buckets)
                .groupBy(*keys, BUCKET)
                .agg(F.max("_tm_last").alias("_tm_last"),
@@ -202,7 +202,7 @@ def enrich_quotes(trades: DataFrame, quotes: DataFrame,
         # Plain equality: a NULL key has no close.
         carry = carry.join(close.select(*keys, "close_pr"), keys, "left")
     else:
-        carry = carry.withColumn("close_pr", null("double"))
+        carry = carry.withColumn("close_pr", F.lit(None).cast("double"))
     carry = carry.select(F.struct(*keys, BUCKET).alias(PART),
                          "_tm_carry_pr", "_tm_carry_avg", "close_pr")
 

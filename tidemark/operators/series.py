@@ -31,13 +31,39 @@ from tidemark.functions.timecols import bucket_of, epoch_seconds
 # Defaults of the reference workload.
 DEFAULT_KEYS = ("trade_dt", "symbol", "exchange")
 MOVING_AVERAGE_SECONDS = 1800
-# Width of a forward-fill bucket.  Bounds the rows one fill task must sort
-# for one key to ``bucket_seconds`` of that key's traffic.
-BUCKET_SECONDS = 60
+# Width of a forward-fill bucket.  ``"auto"`` sizes it from the data: the
+# densest key then holds about ROWS_PER_BUCKET rows per bucket on average,
+# so one fill task sorts a bounded amount however hot the key is.  An int
+# fixes the width in seconds.
+BUCKET_SECONDS = "auto"
+ROWS_PER_BUCKET = 250_000
+MAX_BUCKET_SECONDS = 86_400
 
 SEC, BUCKET, PART = "_tm_sec", "_tm_bucket", "_tm_part"
 
 
+def bucket_width(frames: Sequence[DataFrame], keys: Sequence[str],
+                 bucket_seconds: int | str = BUCKET_SECONDS,
+                 rows_per_bucket: int = ROWS_PER_BUCKET) -> int | Column:
+    """Bucket width for rows of ``frames`` (each with keys and ``_tm_sec``).
+
+    ``"auto"``: a scalar subquery — per key, rows and time span (partial
+    aggregates, combined map-side); the width is the smallest
+    ``span * rows_per_bucket / rows`` over keys, clamped to [1 s, 1 day].
+    """
+    if bucket_seconds != "auto":
+        return int(bucket_seconds)
+    rows = frames[0].select(*keys, SEC)
+    for f in frames[1:]:
+        rows = rows.unionByName(f.select(*keys, SEC))
+    per_key = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), (F.max(SEC) - F.min(SEC) + 1).alias("span"))
+    w = per_key.agg(F.min(F.floor(F.col("span") * F.lit(rows_per_bucket) / F.col("n")))
+                    .alias("w")).scalar()
+    return F.greatest(F.lit(1), F.least(F.lit(MAX_BUCKET_SECONDS),
+                                        F.coalesce(w, F.lit(MAX_BUCKET_SECONDS))))
+
+
 def per_second_stats(trades: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
                      time: str = "event_tm", seq: str = "event_seq_nb",
                      price: str = "trade_pr") -> DataFrame:
@@ -120,7 +146,7 @@ def timeline(trades: DataFrame, quotes: DataFrame,
 def forward_fill(df: DataFrame, fills: Mapping[str, str],
                  keys: Sequence[str] = DEFAULT_KEYS, time: str = "event_tm",
                  order: Sequence[str] = ("event_tm", "event_seq_nb", "rec_sort"),
-                 bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+                 bucket_seconds: int | str = BUCKET_SECONDS) -> DataFrame:
     """For every row, the last non-NULL value of each source column among
     the rows of its key up to and including itself (``order`` ascending,
     NULLs first).  ``fills`` maps output name -> source column.
@@ -129,8 +155,10 @@ def forward_fill(df: DataFrame, fills: Mapping[str, str],
     """
     if order[0] != time:
         raise ValueError("the first order column must be the time column")
-    b = bucket_of(epoch_seconds(df, time), bucket_seconds)
-    d = df.withColumn(BUCKET, b).withColumn(PART, F.struct(*keys, BUCKET))
+    d = df.withColumn(SEC, epoch_seconds(df, time))
+    width = bucket_width([d], keys, bucket_seconds)
+    d = d.withColumn(BUCKET, bucket_of(F.col(SEC), width)) \
+        .withColumn(PART, F.struct(*keys, BUCKET))
     w = (Window.partitionBy(PART).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = d.select(*df.columns, PART,

@@ -40,43 +40,51 @@ TRUNCATED_JSON_EVERY = 7   # JSON line without the closing brace -> bad
 REC_TYPE_KEY_EVERY = 3     # JSON type under "rec_type" instead of "event_type"
 
 
+def _in(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+# The mapping as SQL expressions: one round trip per column when the plan is
+# built, and the same text as the oracle's.
+_BASE = [
+    "cast(ts as date) as trade_dt",
+    f"case when event_type in ({_in(TRADE_EVENTS)}) then 'T' "
+    f"when event_type in ({_in(QUOTE_EVENTS)}) then 'Q' else 'X' end as rec_type",
+    f"concat('S', cast(user_id % {SYMBOLS} as string)) as symbol",
+    "case when event_id % 2 = 0 then 'NYSE' else 'NASDAQ' end as exchange",
+    "ts as event_tm",
+    "event_id as event_seq_nb",
+    "ts as arrival_tm",
+    "value as pr",
+    f"event_id % {SIZE_MOD} + 1 as sz",
+]
+_TYPED = [
+    "trade_dt", "rec_type", "symbol", "exchange", "event_tm", "event_seq_nb",
+    "arrival_tm",
+    "case when rec_type = 'T' then pr end as trade_pr",
+    "case when rec_type = 'Q' then pr end as bid_pr",
+    "case when rec_type = 'Q' then sz end as bid_size",
+    f"case when rec_type = 'Q' then pr + cast({ASK_SPREAD} as double) end as ask_pr",
+    "case when rec_type = 'Q' then sz end as ask_size",
+    f"case when rec_type in ('T', 'Q') then rec_type else '{schema.BAD}' end as partition",
+]
+
+
 def _base(events: DataFrame) -> DataFrame:
-    et = F.col("event_type")
-    return events.select(
-        F.col("ts").cast("date").alias("trade_dt"),
-        F.when(et.isin(*TRADE_EVENTS), "T").when(et.isin(*QUOTE_EVENTS), "Q")
-        .otherwise("X").alias("rec_type"),
-        F.concat(F.lit("S"), (F.col("user_id") % SYMBOLS).cast("string")).alias("symbol"),
-        F.when(F.col("event_id") % 2 == 0, "NYSE").otherwise("NASDAQ").alias("exchange"),
-        F.col("ts").alias("event_tm"),
-        F.col("event_id").alias("event_seq_nb"),
-        F.col("ts").alias("arrival_tm"),
-        F.col("value").alias("pr"),
-        (F.col("event_id") % SIZE_MOD + 1).alias("sz"),
-    )
+    return events.selectExpr(*_BASE)
 
 
 def _typed(df: DataFrame) -> DataFrame:
-    is_t, is_q = F.col("rec_type") == "T", F.col("rec_type") == "Q"
-    return df.select(
-        "trade_dt", "rec_type", "symbol", "exchange", "event_tm", "event_seq_nb",
-        "arrival_tm",
-        F.when(is_t, F.col("pr")).alias("trade_pr"),
-        F.when(is_q, F.col("pr")).alias("bid_pr"),
-        F.when(is_q, F.col("sz")).alias("bid_size"),
-        F.when(is_q, F.col("pr") + F.lit(ASK_SPREAD)).alias("ask_pr"),
-        F.when(is_q, F.col("sz")).alias("ask_size"),
-        F.when(is_t | is_q, F.col("rec_type")).otherwise(schema.BAD).alias("partition"),
-    )
+    return df.selectExpr(*_TYPED)
 
 
 def market_events(events: DataFrame, corrections: bool = True) -> DataFrame:
     """Common events (``timestamp_ntz`` times) derived from ``events``."""
     base = _base(events)
     if corrections:
-        fix = (base.where(F.col("event_seq_nb") % CORRECTION_EVERY == 0)
-               .withColumn("arrival_tm", F.col("arrival_tm") + F.expr("INTERVAL 1 HOUR"))
-               .withColumn("pr", F.col("pr") + F.lit(1.0)))
+        fix = base.where(f"event_seq_nb % {CORRECTION_EVERY} = 0").selectExpr(
+            "trade_dt", "rec_type", "symbol", "exchange", "event_tm", "event_seq_nb",
+            "arrival_tm + INTERVAL 1 HOUR as arrival_tm", "pr + 1.0D as pr", "sz")
         base = base.unionByName(fix)
     return _typed(base)
 

@@ -27,7 +27,7 @@ KEYS = ("trade_dt", "symbol", "exchange")
 def analytics_all_dates(trades: DataFrame, quotes: DataFrame,
                         keys: Sequence[str] = KEYS, close_mode: str = "calendar",
                         window_seconds: int = MOVING_AVERAGE_SECONDS,
-                        bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+                        bucket_seconds: int | str = BUCKET_SECONDS) -> DataFrame:
     """Analytical rows for every quote of every date."""
     close = analytics.previous_close(
         trades, keys, mode=close_mode,
@@ -39,7 +39,7 @@ def analytics_all_dates(trades: DataFrame, quotes: DataFrame,
 
 def analytics_for_date(spark: SparkSession, eod_base: str, day=None,
                        window_seconds: int = MOVING_AVERAGE_SECONDS,
-                       bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+                       bucket_seconds: int | str = BUCKET_SECONDS) -> DataFrame:
     """Analytical rows of one date (default: latest trade date)."""
     trade_table = tables.read_table(spark, f"{eod_base}/trade")
     if day is None:

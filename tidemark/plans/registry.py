@@ -39,12 +39,18 @@ def _feed(spark: SparkSession, d: str, corrections: bool = True) -> DataFrame:
     return market_feed.market_events(_events(spark, d), corrections)
 
 
-def _trades(spark: SparkSession, d: str) -> DataFrame:
-    return eod.eod_trades(_feed(spark, d), ["trade_pr"])
+def _trades(spark: SparkSession, d: str, feed: DataFrame | None = None) -> DataFrame:
+    return eod.eod_trades(feed if feed is not None else _feed(spark, d), ["trade_pr"])
 
 
-def _quotes(spark: SparkSession, d: str) -> DataFrame:
-    return eod.eod_quotes(_feed(spark, d), ["bid_pr"])
+def _quotes(spark: SparkSession, d: str, feed: DataFrame | None = None) -> DataFrame:
+    return eod.eod_quotes(feed if feed is not None else _feed(spark, d), ["bid_pr"])
+
+
+def _eod_pair(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Corrected trades and quotes built on one feed DataFrame."""
+    feed = _feed(spark, d)
+    return _trades(spark, d, feed), _quotes(spark, d, feed)
 
 
 def _round(df: DataFrame, *cols: str) -> DataFrame:
@@ -147,11 +153,13 @@ def eod_counts_by_date(spark, d):
 
 
 def correction_counts(spark, d):
-    feed = _feed(spark, d).where(F.col("partition") != schema.BAD) \
+    feed = _feed(spark, d)
+    trades, quotes = _trades(spark, d, feed), _quotes(spark, d, feed)
+    before = feed.where(F.col("partition") != schema.BAD) \
         .select(F.col("partition").alias("rec_type"))
-    after = (_trades(spark, d).select(F.lit(schema.TRADE).alias("rec_type"))
-             .unionByName(_quotes(spark, d).select(F.lit(schema.QUOTE).alias("rec_type"))))
-    return quality.before_after_counts(feed, after, "rec_type")
+    after = (trades.select(F.lit(schema.TRADE).alias("rec_type"))
+             .unionByName(quotes.select(F.lit(schema.QUOTE).alias("rec_type"))))
+    return quality.before_after_counts(before, after, "rec_type")
 
 
 # --- time series and analytics ----------------------------------------------
@@ -165,13 +173,13 @@ def previous_close(spark, d):
 
 
 def previous_close_available(spark, d):
-    tr = _trades(spark, d)
-    return analytics.previous_close(tr, mode="available",
-                                    next_dates=_quotes(spark, d).select("trade_dt"))
+    tr, qu = _eod_pair(spark, d)
+    return analytics.previous_close(tr, mode="available", next_dates=qu.select("trade_dt"))
 
 
 def _timeline(spark, d):
-    return series.timeline(series.moving_average(_trades(spark, d)), _quotes(spark, d))
+    tr, qu = _eod_pair(spark, d)
+    return series.timeline(series.moving_average(tr), qu)
 
 
 def event_timeline(spark, d):
@@ -186,7 +194,7 @@ def forward_fill_quotes(spark, d):
 
 
 def _analytics(spark, d):
-    return quote_analytics.analytics_all_dates(_trades(spark, d), _quotes(spark, d))
+    return quote_analytics.analytics_all_dates(*_eod_pair(spark, d))
 
 
 def quote_trade_analytics(spark, d):
@@ -199,7 +207,8 @@ def latest_date_analytics(spark, d):
 
 
 def quote_reconciliation(spark, d):
-    return quality.reconcile(_quotes(spark, d), _analytics(spark, d))
+    tr, qu = _eod_pair(spark, d)
+    return quality.reconcile(qu, quote_analytics.analytics_all_dates(tr, qu))
 
 
 def null_fill_count(spark, d):
