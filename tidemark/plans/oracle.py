@@ -214,6 +214,12 @@ prev as (select d, (select max(trade_dt) from trades t where t.trade_dt < d) as
          from dates)
 select l.symbol, l.exchange, prev.d as trade_dt, l.trade_pr as close_pr
 from day_last l join prev on l.trade_dt = prev.p""",
+    "close_join": f"""with {EOD} {CLOSES}
+select q.trade_dt, q.symbol, q.exchange, q.event_tm, q.event_seq_nb, q.arrival_tm,
+       q.bid_pr, q.bid_size, q.ask_pr, q.ask_size, c.close_pr,
+       q.bid_pr - c.close_pr as bid_pr_mv, q.ask_pr - c.close_pr as ask_pr_mv
+from quotes q left join closes c
+  on q.trade_dt = c.trade_dt and q.symbol = c.symbol and q.exchange = c.exchange""",
     "event_timeline": f"""with {TIMELINE}
 select trade_dt, rec_type, symbol, event_tm, event_seq_nb, exchange, bid_pr, bid_size,
        ask_pr, ask_size, trade_pr, round(mov_avg_pr, 6) as mov_avg_pr, rec_sort

@@ -177,6 +177,18 @@ def previous_close_available(spark, d):
     return analytics.previous_close(tr, mode="available", next_dates=qu.select("trade_dt"))
 
 
+# Largest close table broadcast after a bounded count (rows: key-days).
+CLOSE_BROADCAST_MAX_ROWS = 1_000_000
+
+
+def close_join(spark, d):
+    # J1 as a standalone join: quotes of every date with the previous close.
+    tr, qu = _eod_pair(spark, d)
+    return analytics.join_close(qu, analytics.previous_close(tr),
+                                ["trade_dt", "symbol", "exchange"],
+                                broadcast_max_rows=CLOSE_BROADCAST_MAX_ROWS)
+
+
 def _timeline(spark, d):
     tr, qu = _eod_pair(spark, d)
     return series.timeline(series.moving_average(tr), qu)
@@ -266,6 +278,7 @@ QUERIES: dict[str, Query] = {
     "trade_moving_average": trade_moving_average,
     "previous_close": previous_close,
     "previous_close_available": previous_close_available,
+    "close_join": close_join,
     "event_timeline": event_timeline,
     "forward_fill_quotes": forward_fill_quotes,
     "quote_trade_analytics": quote_trade_analytics,
