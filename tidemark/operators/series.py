@@ -66,22 +66,24 @@ def bucket_width(frames: Sequence[DataFrame], keys: Sequence[str],
 
 def per_second_stats(trades: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
                      time: str = "event_tm", seq: str = "event_seq_nb",
-                     price: str = "trade_pr") -> DataFrame:
+                     price: str = "trade_pr", with_last: bool = True) -> DataFrame:
     """One row per (key, whole second) with trades.
 
     Columns: keys, ``_tm_sec``, ``_tm_sum`` / ``_tm_cnt`` (sum and count of
-    non-NULL prices) and ``_tm_last`` = struct(time, seq, price) of the last
-    trade in the second whose price is not NULL (NULL if none).
+    non-NULL prices) and, if ``with_last``, ``_tm_last`` = struct(time, seq,
+    price) of the last trade in the second whose price is not NULL (NULL if
+    none).  Without it the aggregate is a pure hash aggregate.
     """
     p = F.col(price)
+    aggs = [F.sum(p).alias("_tm_sum"), F.count(p).alias("_tm_cnt")]
+    if with_last:
+        aggs.append(F.max(F.when(p.isNotNull(),
+                                 F.struct(F.col(time).alias("t"), F.col(seq).alias("s"),
+                                          p.alias("v")))).alias("_tm_last"))
     return (
         trades.select(*keys, time, seq, price,
                       epoch_seconds(trades, time).alias(SEC))
-        .groupBy(*keys, SEC)
-        .agg(F.sum(p).alias("_tm_sum"), F.count(p).alias("_tm_cnt"),
-             F.max(F.when(p.isNotNull(),
-                          F.struct(F.col(time).alias("t"), F.col(seq).alias("s"),
-                                   p.alias("v")))).alias("_tm_last"))
+        .groupBy(*keys, SEC).agg(*aggs)
     )
 
 
@@ -105,8 +107,8 @@ def moving_average(trades: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
     other (also later ones) and the window reaches back to the start of
     second ``s - seconds``.  NULL prices are skipped.
     """
-    avg = rolling_average(per_second_stats(trades, keys, time, seq, price),
-                          keys, seconds)
+    avg = rolling_average(per_second_stats(trades, keys, time, seq, price,
+                                           with_last=False), keys, seconds)
     gs = "_tm_gs"
     right = avg.select(F.struct(*keys, SEC).alias(gs), F.col("_tm_avg").alias(out))
     left = trades.withColumn(gs, F.struct(*[F.col(k) for k in keys],
