@@ -97,3 +97,19 @@ def test_streaming_ingest_matches_batch(spark):
     assert streamed.count() == batch.count()
     assert (streamed.groupBy("partition").count().orderBy("partition").collect()
             == batch.groupBy("partition").count().orderBy("partition").collect())
+
+
+def test_eod_scan_prunes_columns_and_partitions(spark):
+    base = scratch.scratch_path(spark, "runs")
+    sinks.write_run(market_feed.market_events(_events(spark)), base, "20240101_000000_000001")
+    runs = tables.read_table(spark, base)
+    trades = eod.eod_trades(runs.where(F.col("run_id") == "20240101_000000_000001"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = trades._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = [line for line in plan.split("\n") if "FileScan parquet" in line][0]
+    assert "PartitionFilters: [isnotnull(run_id" in scan and "(partition" in scan
+    read_schema = scan[scan.index("ReadSchema"):]
+    assert "bid_pr" not in read_schema and "trade_pr" in read_schema

@@ -23,6 +23,9 @@ CSV_TRADE_PR = 7
 CSV_QUOTE_FIELDS, CSV_TRADE_FIELDS = 11, 8
 
 
+_PARTS, _MAP = "_tm_parts", "_tm_map"
+
+
 def _starts_json(value: Column) -> Column:
     # trim() strips blanks only: a tab before "{" does not count.
     return F.startswith(F.trim(value), F.lit("{"))
@@ -44,15 +47,17 @@ def parse_csv_lines(lines: DataFrame, value: str = "value",
     are dropped.  No quoting, header or field trimming: every line is data.
     """
     v = F.col(value)
-    parts = F.split(v, ",")
+    # Split once per line: a separate projection keeps Catalyst from inlining
+    # the split into every column expression.
+    lines = lines.filter(~_starts_json(v)).select(F.split(v, ",").alias(_PARTS))
+    parts = F.col(_PARTS)
     n = F.size(parts)
     f = lambda i: cells.field(parts, i)
     rec_type = f(CSV_REC_TYPE)
     is_q = (rec_type == schema.QUOTE) & (n >= CSV_QUOTE_FIELDS)
     is_t = (rec_type == schema.TRADE) & (n >= CSV_TRADE_FIELDS)
     return (
-        lines.filter(~_starts_json(v))
-        .select(
+        lines.select(
             cells.to_date(f(CSV_TRADE_DT)).alias("trade_dt"),
             rec_type.alias("rec_type"),
             f(CSV_SYMBOL).alias("symbol"),
@@ -87,14 +92,16 @@ def parse_json_lines(lines: DataFrame, value: str = "value",
     malformed text gives a NULL map and so partition ``B``.
     """
     v = F.col(value)
-    m = F.from_json(v, "map<string,string>")
+    # Parse once per line (see parse_csv_lines).
+    lines = lines.filter(_starts_json(v)).select(
+        F.from_json(v, "map<string,string>").alias(_MAP))
+    m = F.col(_MAP)
     k = lambda key: m.getItem(key)
     rec_type = F.coalesce(*(k(t) for t in JSON_TYPE_KEYS))
     is_q = rec_type == schema.QUOTE
     is_t = rec_type == schema.TRADE
     return (
-        lines.filter(_starts_json(v))
-        .select(
+        lines.select(
             cells.to_date(k("trade_dt")).alias("trade_dt"),
             rec_type.alias("rec_type"),
             k("symbol").alias("symbol"),
