@@ -113,3 +113,13 @@ def test_eod_scan_prunes_columns_and_partitions(spark):
     assert "PartitionFilters: [isnotnull(run_id" in scan and "(partition" in scan
     read_schema = scan[scan.index("ReadSchema"):]
     assert "bid_pr" not in read_schema and "trade_pr" in read_schema
+
+
+def test_null_trade_date_lands_in_default_partition(spark):
+    rows = spark.createDataFrame(
+        [(None, "A", 1.0), (dt.date(2024, 1, 2), "B", 2.0)],
+        "trade_dt date, symbol string, trade_pr double")
+    path = scratch.scratch_path(spark, "nulldt")
+    sinks.write_eod(rows, path)
+    back = {r.symbol: r.trade_dt for r in tables.read_table(spark, path).collect()}
+    assert back == {"A": None, "B": dt.date(2024, 1, 2)}
