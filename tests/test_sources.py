@@ -123,3 +123,24 @@ def test_null_trade_date_lands_in_default_partition(spark):
     sinks.write_eod(rows, path)
     back = {r.symbol: r.trade_dt for r in tables.read_table(spark, path).collect()}
     assert back == {"A": None, "B": dt.date(2024, 1, 2)}
+
+
+def test_run_analytics_writes_date_folder_and_preview(spark):
+    feed = market_feed.market_events(_events(spark))
+    eod_base = scratch.scratch_path(spark, "eod")
+    sinks.write_eod(eod.eod_trades(feed), f"{eod_base}/trade")
+    sinks.write_eod(eod.eod_quotes(feed), f"{eod_base}/quote")
+    out_base = scratch.scratch_path(spark, "analytics")
+    out = quote_analytics.run_analytics(spark, eod_base, out_base)
+    day = tables.latest_date_value(tables.read_table(spark, f"{eod_base}/trade"))
+    written = spark.read.parquet(f"{out_base}/date={day}")
+    assert written.count() == out.count() > 0
+    assert set(written.columns) == set(schema.ANALYTIC_COLUMNS)
+    text_schema, head = tables.preview(written, 5)
+    assert text_schema.startswith("struct<symbol:string") and head.count() == 5
+    # all dates at once: one date=... folder per trade date (dynamic overwrite)
+    all_dates = quote_analytics.analytics_all_dates(eod.eod_trades(feed), eod.eod_quotes(feed))
+    multi = scratch.scratch_path(spark, "analytics_all")
+    sinks.write_analytics(all_dates, multi)
+    assert (spark.read.parquet(multi).select("date").distinct().count()
+            == all_dates.select("trade_dt").distinct().count())
