@@ -13,8 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark import schema
-
 _RN = "_tm_rn"
 
 
@@ -78,4 +76,4 @@ def job_status_rows(job_id: Column, status: Column, updated_time: Column) -> lis
 
 
 __all__ = ["keep_latest", "last_per_group", "upsert_latest", "lookup",
-           "daily_job_id", "job_status_rows", "schema"]
+           "daily_job_id", "job_status_rows"]

@@ -179,8 +179,3 @@ def forward_fill(df: DataFrame, fills: Mapping[str, str],
     return local.join(carry, PART, "left").select(
         *df.columns,
         *[F.coalesce(f"_tm_loc_{o}", f"_tm_carry_{o}").alias(o) for o in fills])
-
-
-def as_of_key(keys: Sequence[str]) -> Column:
-    """Struct of key columns, for NULL-safe equi-joins."""
-    return F.struct(*keys)
