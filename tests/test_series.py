@@ -109,7 +109,9 @@ def test_enrich_quotes_reference_keys_single_date(spark):
     trades = trades.where(F.col("trade_dt") == day)
     quotes = quotes.where(F.col("trade_dt") == day)
     keys = ["symbol", "exchange"]
-    close = trades.groupBy(*keys).agg(F.max("trade_pr").alias("close_pr"))
+    prev = trades.where(F.col("event_seq_nb") < 25)   # stands in for the previous day
+    close = analytics.previous_close(prev, keys)
+    assert close.columns == keys + ["close_pr"]
     got = analytics.enrich_quotes(trades, quotes, close, keys, bucket_seconds=300)
     exp = naive.naive_analytics(trades, quotes, close, keys)
     assert naive.rows(got, schema.ANALYTIC_COLUMNS) == naive.rows(exp, schema.ANALYTIC_COLUMNS)

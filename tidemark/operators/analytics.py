@@ -53,11 +53,15 @@ def previous_close(trades: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
     it with the next calendar day; ``mode='available'`` with every later date
     up to the next date that has trades (``next_dates``: a one-column frame
     of the dates to label, default the trade dates themselves).
-    Output: keys (with ``date_col``), ``close_pr``.
+    Output: keys (with ``date_col``), ``close_pr``.  When ``date_col`` is
+    not a key (one loaded date, as in the reference) the close carries no
+    date label: it is the close of the given trades, one row per key.
     """
     last = latest.last_per_group(trades.select(*keys, time, seq, price),
                                  keys, [time, seq])
     close = last.select(*keys, F.col(price).alias("close_pr"))
+    if date_col not in keys:
+        return close
     if mode == "calendar":
         return close.withColumn(date_col, F.date_add(F.col(date_col), 1))
     if mode != "available":
