@@ -15,11 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder; set one only if unset."""
+    """The session's shared checkpoint folder.
+
+    A local session without one (tests) gets a temporary folder.  On a
+    cluster a missing folder is an error: executors write to their own disks,
+    and reading back would miss what the others wrote.
+    """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        # Unset: a bare local session, as in tests.
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-checkpoints-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -30,7 +36,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below the shared folder and read it back.
+
+    Cuts the lineage: what follows reads files that outlive a lost executor.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
