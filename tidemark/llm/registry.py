@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality
+from tidemark.llm import jaccard, packing, quality, secrets, sharding, urls, warc
+from tidemark.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,11 +21,60 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{d}/documents.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A vocabulary of the installed public tokenizers; every machine of the
+    cluster has them at the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality.measure(_documents(spark, d)).drop("n_lines")
 
 
+def op2_warc_packages(spark: SparkSession, d: str) -> DataFrame:
+    return warc.round_trip(spark.read.parquet(f"{d}/pages.parquet"), scratch_path(spark, "warc"))
+
+
+def op4_sharding(spark: SparkSession, d: str) -> DataFrame:
+    out = sharding.shuffle_to_shards(_documents(spark, d), scratch_path(spark, "shards"))
+    text = F.coalesce(F.col("row.text"), F.lit("")).cast("binary")
+    return out.select(
+        "row.doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op5_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
+    out = packing.pack_documents(_documents(spark, d), tokenizer_path())
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op6_secret_scans(spark: SparkSession, d: str) -> DataFrame:
+    return secrets.scan(_documents(spark, d))
+
+
+# The rules of the url filter query.
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
+             ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def op9_url_filters(spark: SparkSession, d: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
+    return urls.judge(spark.read.parquet(f"{d}/pages.parquet"), rules)
+
+
+def op10_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard.join(_documents(spark, d))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_warc_packages": op2_warc_packages,
+    "op4_sharding": op4_sharding,
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_secret_scans": op6_secret_scans,
+    "op9_url_filters": op9_url_filters,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLES: dict[str, str] = {}
