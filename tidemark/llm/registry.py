@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard, packing, quality, secrets, sharding, urls, warc
+from tidemark.llm import decontaminate, jaccard, packing, quality, repeats, secrets, sharding, urls, warc
 from tidemark.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op2_warc_packages(spark: SparkSession, d: str) -> DataFrame:
     return warc.round_trip(spark.read.parquet(f"{d}/pages.parquet"), scratch_path(spark, "warc"))
 
 
+def op3_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.find(_documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet"))
+
+
 def op4_sharding(spark: SparkSession, d: str) -> DataFrame:
     out = sharding.shuffle_to_shards(_documents(spark, d), scratch_path(spark, "shards"))
     text = F.coalesce(F.col("row.text"), F.lit("")).cast("binary")
@@ -54,6 +58,10 @@ def op6_secret_scans(spark: SparkSession, d: str) -> DataFrame:
     return secrets.scan(_documents(spark, d))
 
 
+def op8_repeated_passages(spark: SparkSession, d: str) -> DataFrame:
+    return repeats.find(_documents(spark, d))
+
+
 # The rules of the url filter query.
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
              ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -71,9 +79,11 @@ def op10_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc_packages": op2_warc_packages,
+    "op3_decontamination": op3_decontamination,
     "op4_sharding": op4_sharding,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_secret_scans": op6_secret_scans,
+    "op8_repeated_passages": op8_repeated_passages,
     "op9_url_filters": op9_url_filters,
     "op10_jaccard_join": op10_jaccard_join,
 }
