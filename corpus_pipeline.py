@@ -1,10 +1,66 @@
-"""The corpus pipeline: stages in order, each over all its predecessor kept."""
+"""The corpus pipeline: stages in order, each over all its predecessor kept.
+
+Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, written as
+Parquet and read again as the next one's ``docs``.  All but the last return the
+columns of ``documents``:
+
+1. quality rules: documents that fail a rule go;
+2. n-gram Jaccard join: of each group of near-duplicates the document with the
+   least id stays;
+3. benchmark decontamination: documents that hold an item go;
+4. secret scans: spans are replaced by a mark, and ``n_chars`` follows;
+5. best-fit packing: where each piece of each document lies.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import decontaminate, jaccard, packing, quality, registry, secrets
+from tidemark.sources.scratch import materialise
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep(docs)
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.deduplicate(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    before = docs.withColumn("n_chars", F.struct("n_chars", F.col("text").alias("before")))
+    changed = ~F.col("text").eqNullSafe(F.col("n_chars.before"))
+    return secrets.redact(before).withColumn(
+        "n_chars", F.when(changed, F.length("text").cast("bigint")).otherwise(F.col("n_chars.n_chars")))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs, registry.tokenizer_path()).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("jaccard_join", jaccard_join),
+    ("decontamination", decontamination),
+    ("secret_scans", secret_scans),
+    ("best_fit_packing", best_fit_packing),
+]
+
+#: SQL cannot express the latent retrieval, the test battery or the tokenizer;
+#: the stages are tested against brute force in ``tests/llm``.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows for the whole ``documents`` table."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard, packing, quality, repeats, secrets, sharding, urls, warc
+from tidemark.llm import decontaminate, jaccard, packing, private, quality, repeats, secrets, sharding, urls, warc
 from tidemark.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,10 @@ def op6_secret_scans(spark: SparkSession, d: str) -> DataFrame:
     return secrets.scan(_documents(spark, d))
 
 
+def op7_personal_data(spark: SparkSession, d: str) -> DataFrame:
+    return private.find(_documents(spark, d))
+
+
 def op8_repeated_passages(spark: SparkSession, d: str) -> DataFrame:
     return repeats.find(_documents(spark, d))
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op4_sharding": op4_sharding,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_secret_scans": op6_secret_scans,
+    "op7_personal_data": op7_personal_data,
     "op8_repeated_passages": op8_repeated_passages,
     "op9_url_filters": op9_url_filters,
     "op10_jaccard_join": op10_jaccard_join,
