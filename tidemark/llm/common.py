@@ -63,3 +63,14 @@ def words_of(text: Column) -> Column:
 def only(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Just these columns: other columns cannot clash with what is added."""
     return df.select(*[F.col(f"`{c}`") for c in columns])
+
+
+def pinned(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a column that is never negative and not deterministic.
+
+    A filter that also reads it stays above this projection.  Otherwise Spark
+    moves the filter down and repeats in it all the expressions it reads, each
+    as often as it is read: for chained array expressions that grows without
+    bound.
+    """
+    return df.withColumn(name, F.monotonically_increasing_id())
