@@ -26,16 +26,3 @@ def epoch_seconds(df: DataFrame, col: str) -> Column:
     if isinstance(dtype, T.StringType):
         c = c.try_cast("timestamp")
     return F.unix_seconds(c)
-
-
-def bucket_of(seconds: Column, width: int | Column) -> Column:
-    """Index of the ``width``-second bucket that holds ``seconds`` (floor).
-
-    Monotone in ``seconds`` for a fixed width, so ordering by time also
-    orders the buckets.  ``width`` may be a (scalar-subquery) column.
-    """
-    if isinstance(width, int):
-        if width < 1:
-            raise ValueError("bucket width must be at least one second")
-        width = F.lit(float(width))
-    return F.floor(seconds / width)

@@ -8,19 +8,14 @@ then it attaches the previous close and the bid/ask moves against it.
 
 Physical shape, chosen for a skewed 100 TB input:
 
-1. trades -> per-second sums/counts/last price (partial aggregation before
-   the shuffle, so a hot instrument ships at most one row per second per
-   map task) -> trailing RANGE window per key-day (<= 86,400 rows each).
-2. The per-second averages become *marker* rows in the event timeline:
-   trades + quotes + markers are shuffled **once**, on (key, time bucket),
-   sorted once, and two window passes over the same sort fill each trade's
-   own-second average and then each quote's last values inside its bucket.
-3. A per-bucket carry table (from the small per-second table and the
-   distinct quote buckets) supplies values from earlier buckets and the
-   previous close.  It is joined on the same (key, bucket) struct the
-   timeline is already partitioned by: the big side is not re-shuffled and
-   nothing is broadcast whose size grows with the data unless AQE measures
-   it small at run time.
+1. trades -> per-second sums and counts (partial aggregation before the
+   shuffle, so a hot instrument ships at most one row per second per map
+   task) -> trailing RANGE window per key-day (<= 86,400 rows each), joined
+   back to the trades by key and second.
+2. trades and quotes as one timeline, filled by
+   :func:`tidemark.operators.series.forward_fill`: computed once, cut into
+   ranges of about equal row counts whatever the keys and bursts are.
+3. the previous close by a plain join; AQE picks its kind from the sizes.
 """
 
 from __future__ import annotations
@@ -31,13 +26,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import schema
-from tidemark.functions.timecols import bucket_of, epoch_seconds
 from tidemark.operators import latest
 from tidemark.operators.series import (
-    BUCKET, BUCKET_SECONDS, DEFAULT_KEYS, MOVING_AVERAGE_SECONDS, PART, SEC,
-    bucket_width, per_second_stats, rolling_average)
-
-_KIND = "_tm_kind"      # 0 = per-second average marker, 1 = trade or quote
+    DEFAULT_KEYS, MOVING_AVERAGE_SECONDS, forward_fill, moving_average, timeline)
 
 
 def previous_close(trades: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
@@ -57,8 +48,7 @@ def previous_close(trades: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
     not a key (one loaded date, as in the reference) the close carries no
     date label: it is the close of the given trades, one row per key.
     """
-    last = latest.last_per_group(trades.select(*keys, time, seq, price),
-                                 keys, [time, seq])
+    last = latest.newest(trades.select(*keys, time, seq, price), keys, [time, seq])
     close = last.select(*keys, F.col(price).alias("close_pr"))
     if date_col not in keys:
         return close
@@ -93,19 +83,10 @@ def price_moves(df: DataFrame) -> DataFrame:
 
 
 def join_close(quotes: DataFrame, close: DataFrame,
-               keys: Sequence[str] = ("symbol", "exchange"),
-               broadcast_max_rows: int | None = None) -> DataFrame:
+               keys: Sequence[str] = ("symbol", "exchange")) -> DataFrame:
     """Left join of the close onto quotes (one close row per key), plus moves.
-
-    Broadcasting the close side is requested only after a bounded count
-    proves it has at most ``broadcast_max_rows`` rows; otherwise the planner
-    (and AQE, on measured sizes) chooses the join.
-    """
-    side = close
-    if broadcast_max_rows is not None and \
-            close.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows:
-        side = F.broadcast(close)
-    return price_moves(quotes.join(side, list(keys), "left"))
+    Plain equality: a NULL key has no close."""
+    return price_moves(quotes.join(close, list(keys), "left"))
 
 
 def enrich_quotes(trades: DataFrame, quotes: DataFrame,
@@ -113,7 +94,7 @@ def enrich_quotes(trades: DataFrame, quotes: DataFrame,
                   keys: Sequence[str] = DEFAULT_KEYS,
                   time: str = "event_tm", seq: str = "event_seq_nb",
                   window_seconds: int = MOVING_AVERAGE_SECONDS,
-                  bucket_seconds: int | str = BUCKET_SECONDS) -> DataFrame:
+                  parts: int | None = None) -> DataFrame:
     """The quote-trade analytical table: one row per quote.
 
     ``trades``: keys, time, seq, ``trade_pr``; ``quotes``: keys, time, seq,
@@ -123,98 +104,13 @@ def enrich_quotes(trades: DataFrame, quotes: DataFrame,
 
     Output columns: :data:`tidemark.schema.ANALYTIC_COLUMNS`.
     """
-    keys = list(keys)
-    ts_sql = trades.schema[time].dataType.simpleString()
-    q_sec = epoch_seconds(quotes, time)
-    t_sec = epoch_seconds(trades, time)
-    extra = [c for c in ("trade_dt",) if c not in keys]
-    k_sql = [f"`{k}`" for k in keys]
-    null_extra = [f"cast(null as date) as `{c}`" for c in extra]
-
-    # (1) per-second statistics and the trailing average per second.
-    stats = rolling_average(per_second_stats(trades, keys, time, seq),
-                            keys, window_seconds)
-
-    # (2) one timeline: markers, trades, quotes (SQL projections: one
-    # round trip per column while the plan is built).
-    markers = stats.selectExpr(
-        *k_sql, *null_extra, SEC, f"0 as {_KIND}", "_tm_avg",
-        "cast(null as string) as rec_type", f"cast(null as {ts_sql}) as `{time}`",
-        f"cast(null as bigint) as `{seq}`", "cast(null as double) as bid_pr",
-        "cast(null as bigint) as bid_size", "cast(null as double) as ask_pr",
-        "cast(null as bigint) as ask_size", "cast(null as double) as trade_pr",
-        "cast(null as int) as rec_sort")
-    t = trades.select(*keys, time, seq, "trade_pr", t_sec.alias(SEC)).selectExpr(
-        *k_sql, *null_extra, SEC, f"1 as {_KIND}", "cast(null as double) as _tm_avg",
-        "'T' as rec_type", f"`{time}`", f"`{seq}`", "cast(null as double) as bid_pr",
-        "cast(null as bigint) as bid_size", "cast(null as double) as ask_pr",
-        "cast(null as bigint) as ask_size", "cast(trade_pr as double) as trade_pr",
-        "0 as rec_sort")
-    q = quotes.select(*keys, *extra, time, seq, "bid_pr", "bid_size", "ask_pr",
-                      "ask_size", q_sec.alias(SEC)).selectExpr(
-        *k_sql, *[f"`{c}`" for c in extra], SEC, f"1 as {_KIND}",
-        "cast(null as double) as _tm_avg", "'Q' as rec_type",
-        f"cast(`{time}` as {ts_sql}) as `{time}`", f"`{seq}`", "bid_pr", "bid_size",
-        "ask_pr", "ask_size", "cast(null as double) as trade_pr", "1 as rec_sort")
-    width = bucket_width([t, q], keys, bucket_seconds)
-    events = (markers.unionByName(t).unionByName(q)
-              .withColumns({BUCKET: bucket_of(F.col(SEC), width),
-                            PART: F.struct(*keys, bucket_of(F.col(SEC), width)
-                                           .alias(BUCKET))}))
-
-    w = (Window.partitionBy(PART).orderBy(SEC, _KIND, time, seq, "rec_sort")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # Pass 1: each row sees the marker of its own second (markers sort first
-    # in their second and every second with trades has one).
-    own = F.last(F.when(F.col(_KIND) == 0, F.struct(F.col("_tm_avg").alias("v"))),
-                 ignorenulls=True).over(w)
-    events = events.withColumn(
-        "mov_avg_pr", F.when(F.col("rec_type") == "T", own.getField("v")))
-    # Pass 2: last non-NULL trade price and trade average within the bucket.
-    events = events.select(
-        "*",
-        F.last("trade_pr", ignorenulls=True).over(w).alias("_tm_loc_pr"),
-        F.last("mov_avg_pr", ignorenulls=True).over(w).alias("_tm_loc_avg"))
-    quotes_out = events.where(F.col("rec_type") == "Q")
-
-    # (3) carry table: values from earlier buckets, and the close.
-    per_bucket = stats.select(
-        *keys, bucket_of(F.col(SEC), width).alias(BUCKET),
-        F.col("_tm_last"),
-        F.when(F.col("_tm_avg").isNotNull(),
-               F.struct(F.col(SEC).alias("s"), F.col("_tm_avg").alias("v")))
-        .alias("_tm_avg_last"))
-    quote_buckets = (quotes.select(*keys, bucket_of(q_sec, width).alias(BUCKET))
-                     .distinct()
-                     .select(*keys, BUCKET,
-                             F.lit(None).cast(per_bucket.schema["_tm_last"].dataType)
-                             .alias("_tm_last"),
-                             F.lit(None).cast(per_bucket.schema["_tm_avg_last"].dataType)
-                             .alias("_tm_avg_last")))
-    buckets = (per_bucket.unionByName(quote_buckets)
-               .groupBy(*keys, BUCKET)
-               .agg(F.max("_tm_last").alias("_tm_last"),
-                    F.max("_tm_avg_last").alias("_tm_avg_last")))
-    wb = (Window.partitionBy(*keys).orderBy(BUCKET)
-          .rowsBetween(Window.unboundedPreceding, -1))
-    carry = buckets.select(
-        *keys, BUCKET,
-        F.last(F.col("_tm_last.v"), ignorenulls=True).over(wb).alias("_tm_carry_pr"),
-        F.last(F.col("_tm_avg_last.v"), ignorenulls=True).over(wb)
-        .alias("_tm_carry_avg"))
-    if close is not None:
-        # Plain equality: a NULL key has no close.
-        carry = carry.join(close.select(*keys, "close_pr"), keys, "left")
-    else:
-        carry = carry.withColumn("close_pr", F.lit(None).cast("double"))
-    carry = carry.select(F.struct(*keys, BUCKET).alias(PART),
-                         "_tm_carry_pr", "_tm_carry_avg", "close_pr")
-
-    out = quotes_out.join(carry, PART, "left").select(
-        "symbol", "exchange", "trade_dt", "rec_type", time, seq,
-        "bid_pr", "bid_size", "ask_pr", "ask_size", "trade_pr",
-        F.lit(None).cast("double").alias("mov_avg_pr"), "rec_sort",
-        F.coalesce("_tm_loc_pr", "_tm_carry_pr").alias("last_trade_pr"),
-        F.coalesce("_tm_loc_avg", "_tm_carry_avg").alias("last_mov_avg_pr"),
-        "close_pr")
-    return price_moves(out).select(*schema.ANALYTIC_COLUMNS)
+    if "trade_dt" not in trades.columns:
+        trades = trades.withColumn("trade_dt", F.lit(None).cast("date"))
+    averaged = moving_average(trades, keys, time, seconds=window_seconds)
+    filled = forward_fill(timeline(averaged, quotes, time=time, seq=seq),
+                          {"last_trade_pr": "trade_pr", "last_mov_avg_pr": "mov_avg_pr"},
+                          keys, (time, seq, "rec_sort"), parts)
+    out = filled.where(F.col("rec_type") == schema.QUOTE)
+    out = join_close(out, close.select(*keys, "close_pr"), keys) if close is not None else price_moves(
+        out.withColumn("close_pr", F.lit(None).cast("double")))
+    return out.select(*schema.ANALYTIC_COLUMNS)

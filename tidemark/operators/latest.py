@@ -1,6 +1,6 @@
 """Latest version per key, keyed upserts and lookups.
 
-``keep_latest`` is ``row_number() = 1`` over a key window.  Catalyst turns
+:func:`newest` ranks the rows of a key and keeps the first.  Catalyst turns
 that into a ``WindowGroupLimit``: a partial top-1 per key runs on the map
 side before the shuffle, so even a key holding a third of all rows sends
 at most one row per map task across the network.
@@ -13,33 +13,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_RN = "_tm_rn"
+def newest(df: DataFrame, by: Sequence[str], ranking: Sequence[str | Column]) -> DataFrame:
+    """One row of every ``by`` group: the one that ranks highest.
 
-
-def _desc(c: str | Column) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).desc()
-
-
-def keep_latest(df: DataFrame, key_cols: Sequence[str],
-                arrival_col: str = "arrival_tm",
-                tiebreaker_cols: Sequence[str | Column] = ()) -> DataFrame:
-    """Keep the latest-arriving row of every key.
-
-    Order: ``arrival_col`` descending, then each tie-breaker descending; NULL
-    sorts last, so a row with NULL arrival survives only when it is alone.
-    NULL key parts form one group, as in any window.  Without tie-breakers,
-    rows tied on arrival are chosen arbitrarily.
+    ``ranking`` compares from its first entry on, larger first, NULL last.
+    Rows that tie on all of it are interchangeable, so one of them is kept
+    arbitrarily.  NULLs in ``by`` are a group like any other value.
     """
-    order = [_desc(arrival_col)] + [_desc(c) for c in tiebreaker_cols]
-    w = Window.partitionBy(*key_cols).orderBy(*order)
-    return (df.withColumn(_RN, F.row_number().over(w))
-            .filter(F.col(_RN) == 1).drop(_RN))
-
-
-def last_per_group(df: DataFrame, key_cols: Sequence[str],
-                   order_cols: Sequence[str]) -> DataFrame:
-    """The last row of every group by ``order_cols`` (all descending)."""
-    return keep_latest(df, key_cols, order_cols[0], order_cols[1:])
+    columns = [F.col(c) if isinstance(c, str) else c for c in ranking]
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*[c.desc_nulls_last() for c in columns]))
+    return df.select("*", place.alias("_tm_place")).where("_tm_place = 1").select(*df.columns)
 
 
 def upsert_latest(current: DataFrame, updates: DataFrame,
@@ -49,12 +32,12 @@ def upsert_latest(current: DataFrame, updates: DataFrame,
     ``current`` with the same key; other rows of ``current`` stay.
 
     The newer write wins even when its time column is older (a priority flag
-    orders first).  Among several updates of one key the latest time wins.
+    ranks first).  Among several updates of one key the latest time wins.
     """
-    prio = "_tm_write"
-    both = (current.withColumn(prio, F.lit(0))
-            .unionByName(updates.select(*current.columns).withColumn(prio, F.lit(1))))
-    return keep_latest(both, key_cols, prio, [time_col]).drop(prio)
+    write = "_tm_write"
+    both = (current.withColumn(write, F.lit(0))
+            .unionByName(updates.select(*current.columns).withColumn(write, F.lit(1))))
+    return newest(both, key_cols, [write, time_col]).drop(write)
 
 
 def lookup(df: DataFrame, key_col: str, value) -> DataFrame:
@@ -74,6 +57,3 @@ def job_status_rows(job_id: Column, status: Column, updated_time: Column) -> lis
     return [job_id.alias("job_id"), status.alias("status"),
             updated_time.alias("updated_time")]
 
-
-__all__ = ["keep_latest", "last_per_group", "upsert_latest", "lookup",
-           "daily_job_id", "job_status_rows"]

@@ -18,10 +18,6 @@ def counts_by(df: DataFrame, *cols: str, name: str = "n") -> DataFrame:
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias(name))
 
 
-def row_count(df: DataFrame, name: str = "n") -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias(name))
-
-
 def null_count(df: DataFrame, col: str, name: str = "n_null") -> DataFrame:
     """Rows where ``col`` is NULL."""
     return df.agg(F.count_if(F.col(col).isNull()).alias(name))
@@ -52,10 +48,6 @@ def before_after_counts(before: DataFrame, after: DataFrame, by: str,
                                 F.count_if(F.col(side) == 1).alias(name_out))
 
 
-def distinct_values(df: DataFrame, col: str) -> DataFrame:
-    return df.select(col).distinct()
-
-
 def top_rows(df: DataFrame, order: Sequence[str | Column], n: int = 20) -> DataFrame:
     """First ``n`` rows in ``order`` (a top-k: partial top-n per task)."""
     return df.orderBy(*order).limit(n)

@@ -8,12 +8,11 @@ Scale design (a hot instrument may hold a third of all rows):
   depends on (key, second) only; a key-day therefore has at most 86,400
   window rows however hot the instrument is, and each frame at most
   ``seconds + 1`` rows.
-* Forward fills never put a whole key into one task.  Rows are split into
-  fixed time buckets; each bucket fills locally, and a small per-bucket
-  summary (last non-null value per bucket, pre-aggregated map-side) supplies
-  the value carried in from earlier buckets.  The carry table is joined on
-  the bucket key the fill window is already partitioned by, so the big side
-  is not shuffled a second time.
+* Forward fills never put a whole key into one task.  Rows are cut into
+  ranges of about equal row counts (:func:`range_parts`); each range fills
+  locally, and a small table with a row per key and range supplies the value
+  carried in from earlier ranges.  It is joined on the struct the fill window
+  is already partitioned by, so the big side is not shuffled again for it.
 * Join keys are packed into one struct column: struct equality treats NULL
   fields as equal, which reproduces window grouping of NULL keys (a plain
   equi-join would drop them).
@@ -23,68 +22,25 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.timecols import bucket_of, epoch_seconds
+from tidemark.functions.timecols import epoch_seconds
+from tidemark.sources.scratch import materialise
 
 # Defaults of the reference workload.
 DEFAULT_KEYS = ("trade_dt", "symbol", "exchange")
 MOVING_AVERAGE_SECONDS = 1800
-# Width of a forward-fill bucket.  ``"auto"`` sizes it from the data: the
-# densest key then holds about ROWS_PER_BUCKET rows per bucket on average,
-# so one fill task sorts a bounded amount however hot the key is.  An int
-# fixes the width in seconds.
-BUCKET_SECONDS = "auto"
-ROWS_PER_BUCKET = 250_000
-MAX_BUCKET_SECONDS = 86_400
-
-SEC, BUCKET, PART = "_tm_sec", "_tm_bucket", "_tm_part"
-
-
-def bucket_width(frames: Sequence[DataFrame], keys: Sequence[str],
-                 bucket_seconds: int | str = BUCKET_SECONDS,
-                 rows_per_bucket: int = ROWS_PER_BUCKET) -> int | Column:
-    """Bucket width for rows of ``frames`` (each with keys and ``_tm_sec``).
-
-    ``"auto"``: a scalar subquery — per key, rows and time span (partial
-    aggregates, combined map-side); the width is the smallest
-    ``span * rows_per_bucket / rows`` over keys, clamped to [1 s, 1 day].
-    """
-    if bucket_seconds != "auto":
-        return int(bucket_seconds)
-    rows = frames[0].select(*keys, SEC)
-    for f in frames[1:]:
-        rows = rows.unionByName(f.select(*keys, SEC))
-    per_key = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), (F.max(SEC) - F.min(SEC) + 1).alias("span"))
-    w = per_key.agg(F.min(F.floor(F.col("span") * F.lit(rows_per_bucket) / F.col("n")))
-                    .alias("w")).scalar()
-    return F.greatest(F.lit(1), F.least(F.lit(MAX_BUCKET_SECONDS),
-                                        F.coalesce(w, F.lit(MAX_BUCKET_SECONDS))))
+SEC, PART = "_tm_sec", "_tm_part"
 
 
 def per_second_stats(trades: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
-                     time: str = "event_tm", seq: str = "event_seq_nb",
-                     price: str = "trade_pr", with_last: bool = True) -> DataFrame:
-    """One row per (key, whole second) with trades.
-
-    Columns: keys, ``_tm_sec``, ``_tm_sum`` / ``_tm_cnt`` (sum and count of
-    non-NULL prices) and, if ``with_last``, ``_tm_last`` = struct(time, seq,
-    price) of the last trade in the second whose price is not NULL (NULL if
-    none).  Without it the aggregate is a pure hash aggregate.
-    """
-    p = F.col(price)
-    aggs = [F.sum(p).alias("_tm_sum"), F.count(p).alias("_tm_cnt")]
-    if with_last:
-        aggs.append(F.max(F.when(p.isNotNull(),
-                                 F.struct(F.col(time).alias("t"), F.col(seq).alias("s"),
-                                          p.alias("v")))).alias("_tm_last"))
-    return (
-        trades.select(*keys, time, seq, price,
-                      epoch_seconds(trades, time).alias(SEC))
-        .groupBy(*keys, SEC).agg(*aggs)
-    )
+                     time: str = "event_tm", price: str = "trade_pr") -> DataFrame:
+    """One row per (key, whole second) with trades: keys, ``_tm_sec``, and
+    ``_tm_sum`` / ``_tm_cnt``, sum and count of the non-NULL prices."""
+    return (trades.select(*keys, price, epoch_seconds(trades, time).alias(SEC))
+            .groupBy(*keys, SEC)
+            .agg(F.sum(price).alias("_tm_sum"), F.count(price).alias("_tm_cnt")))
 
 
 def rolling_average(stats: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
@@ -99,16 +55,14 @@ def rolling_average(stats: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
 
 def moving_average(trades: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
                    time: str = "event_tm", price: str = "trade_pr",
-                   seconds: int = MOVING_AVERAGE_SECONDS,
-                   seq: str = "event_seq_nb", out: str = "mov_avg_pr") -> DataFrame:
+                   seconds: int = MOVING_AVERAGE_SECONDS, out: str = "mov_avg_pr") -> DataFrame:
     """Trailing moving average of ``price`` per key over the last ``seconds``.
 
     Time is truncated to whole seconds, so all trades of one second see each
     other (also later ones) and the window reaches back to the start of
     second ``s - seconds``.  NULL prices are skipped.
     """
-    avg = rolling_average(per_second_stats(trades, keys, time, seq, price,
-                                           with_last=False), keys, seconds)
+    avg = rolling_average(per_second_stats(trades, keys, time, price), keys, seconds)
     gs = "_tm_gs"
     right = avg.select(F.struct(*keys, SEC).alias(gs), F.col("_tm_avg").alias(out))
     left = trades.withColumn(gs, F.struct(*[F.col(k) for k in keys],
@@ -116,6 +70,22 @@ def moving_average(trades: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
     return left.join(right, gs, "left").drop(gs)
 
 
+# The timeline's columns: type, and where trades and quotes take them from
+# (None: not theirs, so NULL).
+TIMELINE = (
+    ("rec_type", "string", "'T'", "'Q'"),
+    ("rec_sort", "int", "0", "1"),
+    ("symbol", None, "symbol", "symbol"),
+    ("exchange", None, "exchange", "exchange"),
+    ("trade_pr", "double", "trade_pr", None),
+    ("mov_avg_pr", "double", "mov_avg_pr", None),
+    ("bid_pr", "double", None, "bid_pr"),
+    ("bid_size", "bigint", None, "bid_size"),
+    ("ask_pr", "double", None, "ask_pr"),
+    ("ask_size", "bigint", None, "ask_size"),
+)
+
+
 def timeline(trades: DataFrame, quotes: DataFrame,
              date_col: str = "trade_dt", time: str = "event_tm",
              seq: str = "event_seq_nb") -> DataFrame:
@@ -124,58 +94,59 @@ def timeline(trades: DataFrame, quotes: DataFrame,
     Trades get ``rec_type='T'``, ``rec_sort=0`` and NULL quote columns;
     quotes get ``rec_type='Q'``, ``rec_sort=1`` and NULL trade columns.
     """
-    ts_type = trades.schema[time].dataType
-    null = lambda t: F.lit(None).cast(t)
-    cols = [date_col, "rec_type", "symbol", time, seq, "exchange", "bid_pr",
-            "bid_size", "ask_pr", "ask_size", "trade_pr", "mov_avg_pr", "rec_sort"]
-    t = trades.select(
-        F.col(date_col), F.lit("T").alias("rec_type"), "symbol",
-        F.col(time).cast(ts_type).alias(time), seq, "exchange",
-        null("double").alias("bid_pr"), null("bigint").alias("bid_size"),
-        null("double").alias("ask_pr"), null("bigint").alias("ask_size"),
-        F.col("trade_pr").cast("double").alias("trade_pr"),
-        F.col("mov_avg_pr").cast("double").alias("mov_avg_pr"),
-        F.lit(0).alias("rec_sort"))
-    q = quotes.select(
-        F.col(date_col), F.lit("Q").alias("rec_type"), "symbol",
-        F.col(time).cast(ts_type).alias(time), seq, "exchange",
-        "bid_pr", "bid_size", "ask_pr", "ask_size",
-        null("double").alias("trade_pr"), null("double").alias("mov_avg_pr"),
-        F.lit(1).alias("rec_sort"))
-    return t.select(*cols).unionByName(q.select(*cols))
+    time_type = trades.schema[time].dataType.simpleString()
+    layout = ((date_col, None, date_col, date_col), (time, time_type, time, time),
+              (seq, None, seq, seq), *TIMELINE)
+
+    def side(df: DataFrame, source: int) -> DataFrame:
+        return df.selectExpr(*[
+            (f"cast({row[source] or 'null'} as {row[1]})" if row[1] else row[source]) + f" as `{row[0]}`"
+            for row in layout])
+
+    return side(trades, 2).unionByName(side(quotes, 3))
+
+
+def range_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                parts: int | None = None) -> DataFrame:
+    """``df`` cut into ranges of about equal row counts by ``keys`` and then
+    ``order``, written once below the shared folder, with the column
+    ``_tm_part``: a struct of the keys and the number of the range.
+
+    Spark samples the rows to place the cuts, so a burst, one dense second or
+    rows without a time (they order first) spread over as many ranges as they
+    fill, and a sparse key stays whole.  ``parts``: number of ranges (default:
+    the shuffle partitions, coalesced by AQE).
+    """
+    columns = [F.col(c) for c in (*keys, *order)]
+    cut = df.repartitionByRange(parts, *columns) if parts else df.repartitionByRange(*columns)
+    number = "_tm_range"
+    d = materialise(cut.withColumn(number, F.spark_partition_id()), "timeline")
+    return d.withColumn(PART, F.struct(*keys, number)).drop(number)
 
 
 def forward_fill(df: DataFrame, fills: Mapping[str, str],
-                 keys: Sequence[str] = DEFAULT_KEYS, time: str = "event_tm",
+                 keys: Sequence[str] = DEFAULT_KEYS,
                  order: Sequence[str] = ("event_tm", "event_seq_nb", "rec_sort"),
-                 bucket_seconds: int | str = BUCKET_SECONDS) -> DataFrame:
+                 parts: int | None = None) -> DataFrame:
     """For every row, the last non-NULL value of each source column among
     the rows of its key up to and including itself (``order`` ascending,
     NULLs first).  ``fills`` maps output name -> source column.
 
-    ``order[0]`` must be ``time``: buckets are cut on it.
+    ``df`` is computed once, into :func:`range_parts`.  Each range fills its
+    own part of a key; the last values of the earlier ranges come from a
+    carry table with a row per key and range.
     """
-    if order[0] != time:
-        raise ValueError("the first order column must be the time column")
-    d = df.withColumn(SEC, epoch_seconds(df, time))
-    width = bucket_width([d], keys, bucket_seconds)
-    d = d.withColumn(BUCKET, bucket_of(F.col(SEC), width)) \
-        .withColumn(PART, F.struct(*keys, BUCKET))
+    d = range_parts(df, keys, order, parts)
     w = (Window.partitionBy(PART).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = d.select(*df.columns, PART,
-                     *[F.last(src, ignorenulls=True).over(w).alias(f"_tm_loc_{o}")
-                       for o, src in fills.items()])
-    ends = d.groupBy(*keys, BUCKET).agg(*[
-        F.max(F.when(F.col(src).isNotNull(),
-                     F.struct(*[F.col(c) for c in order], F.col(src).alias("v"))))
+    local = d.select("*", *[F.last(src, ignorenulls=True).over(w).alias(f"_tm_loc_{o}")
+                            for o, src in fills.items()])
+    ends = d.groupBy(PART).agg(*[
+        F.max(F.when(F.col(src).isNotNull(), F.struct(*order, F.col(src).alias("v"))))
         .alias(f"_tm_end_{o}") for o, src in fills.items()])
-    wb = (Window.partitionBy(*keys).orderBy(BUCKET)
+    wb = (Window.partitionBy(*[F.col(PART)[k] for k in keys]).orderBy(F.col(PART)["_tm_range"])
           .rowsBetween(Window.unboundedPreceding, -1))
-    carry = ends.select(
-        F.struct(*keys, BUCKET).alias(PART),
-        *[F.last(F.col(f"_tm_end_{o}.v"), ignorenulls=True).over(wb)
-          .alias(f"_tm_carry_{o}") for o in fills])
+    carry = ends.select(PART, *[F.last(F.col(f"_tm_end_{o}")["v"], ignorenulls=True).over(wb)
+                                .alias(f"_tm_carry_{o}") for o in fills])
     return local.join(carry, PART, "left").select(
-        *df.columns,
-        *[F.coalesce(f"_tm_loc_{o}", f"_tm_carry_{o}").alias(o) for o in fills])
+        *df.columns, *[F.coalesce(f"_tm_loc_{o}", f"_tm_carry_{o}").alias(o) for o in fills])

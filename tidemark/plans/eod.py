@@ -23,7 +23,7 @@ def corrected(events: DataFrame, rec_type: str, columns: Sequence[str],
               tiebreakers: Sequence[str] = ()) -> DataFrame:
     """Rows of one record type, latest version per key."""
     rows = events.where(F.col("partition") == rec_type).select(*columns)
-    return latest.keep_latest(rows, list(key), arrival_col, list(tiebreakers))
+    return latest.newest(rows, key, [arrival_col, *tiebreakers])
 
 
 def eod_trades(events: DataFrame, tiebreakers: Sequence[str] = ()) -> DataFrame:
@@ -45,9 +45,8 @@ def run_eod(spark: SparkSession, runs_base: str, eod_base: str,
     Tie-breakers make the winner deterministic when two versions arrive at
     the same time (pass ``()`` for the bare arrival order).
     """
-    runs = tables.read_table(spark, runs_base)
-    run_id = tables.latest_run_id(runs)
-    events = runs.where(F.col(tables.RUN_COL) == F.lit(run_id))
+    run_id = tables.latest_run_id(spark, runs_base)
+    events = tables.read_run(spark, runs_base, run_id)
     sinks.write_eod(eod_trades(events, trade_tiebreakers), f"{eod_base}/trade", overwrite)
     sinks.write_eod(eod_quotes(events, quote_tiebreakers), f"{eod_base}/quote", overwrite)
     return run_id

@@ -15,20 +15,19 @@ from tidemark.sources import sinks, text
 
 
 def parse_roots(spark: SparkSession, csv_root: str, json_root: str,
-                limit_n: int = 0, ntz: bool = False) -> DataFrame:
+                ntz: bool = False) -> DataFrame:
     """Common events of both roots (lazy)."""
-    csv = parse.parse_csv_lines(text.read_lines(spark, csv_root, limit_n=limit_n), ntz=ntz)
-    js = parse.parse_json_lines(text.read_lines(spark, json_root, limit_n=limit_n), ntz=ntz)
+    csv = parse.parse_csv_lines(text.read_lines(spark, csv_root), ntz=ntz)
+    js = parse.parse_json_lines(text.read_lines(spark, json_root), ntz=ntz)
     return parse.union_events(csv, js)
 
 
 def run_ingest(spark: SparkSession, csv_root: str, json_root: str, out_base: str,
-               run_id: str | None = None, limit_n: int = 0,
-               ntz: bool = False) -> tuple[str, dict]:
+               run_id: str | None = None, ntz: bool = False) -> tuple[str, dict]:
     """Parse both roots and write one run.  Returns (run_id, counts) with
     counts ``{"rows": n, "Q": n, "T": n, "B": n}``."""
     run_id = run_id or sinks.new_run_id()
-    events = parse_roots(spark, csv_root, json_root, limit_n, ntz)
+    events = parse_roots(spark, csv_root, json_root, ntz)
     events, obs = quality.observe_counts(
         events, f"ingest_{run_id}", "partition",
         [schema.QUOTE, schema.TRADE, schema.BAD])

@@ -82,10 +82,14 @@ def market_events(events: DataFrame, corrections: bool = True) -> DataFrame:
     """Common events (``timestamp_ntz`` times) derived from ``events``."""
     base = _base(events)
     if corrections:
-        fix = base.where(f"event_seq_nb % {CORRECTION_EVERY} = 0").selectExpr(
-            "trade_dt", "rec_type", "symbol", "exchange", "event_tm", "event_seq_nb",
-            "arrival_tm + INTERVAL 1 HOUR as arrival_tm", "pr + 1.0D as pr", "sz")
-        base = base.unionByName(fix)
+        # One scan: the row, and for some its correction, from one array.
+        base = base.selectExpr(
+            "trade_dt", "rec_type", "symbol", "exchange", "event_tm", "event_seq_nb", "sz",
+            f"""inline(filter(array(
+                named_struct('arrival_tm', arrival_tm, 'pr', pr),
+                if(event_seq_nb % {CORRECTION_EVERY} = 0,
+                   named_struct('arrival_tm', arrival_tm + INTERVAL 1 HOUR, 'pr', pr + 1.0D),
+                   null)), x -> x is not null)) as (arrival_tm, pr)""")
     return _typed(base)
 
 

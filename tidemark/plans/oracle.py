@@ -168,6 +168,27 @@ def _run_rows(run_id: str) -> str:
 ORACLES: dict[str, str] = {
     "csv_parse_events": f"with {BASE}, {CSV_EXPECTED} select * from csv_expected",
     "json_parse_events": f"with {BASE}, {JSON_EXPECTED} select * from json_expected",
+    "csv_parse_timestamps": f"with {BASE}, {CSV_EXPECTED} select * from csv_expected",
+    "json_parse_timestamps": f"with {BASE}, {JSON_EXPECTED} select * from json_expected",
+    "text_scan": """
+select case when event_id % 2 = 0 then 'csv' else 'json' end as root,
+       event_id % 2 = 1 as is_json, count(*) as n_lines
+from events group by all
+union all
+select case when event_id % 2 = 0 then 'json' else 'csv' end, event_id % 2 = 1, count(*)
+from events where event_id % 5 = 0 group by all""",
+    "ingest_job": _ingest_rows()
+    + " select partition, count(*) as n_written, count(*) as n_observed from ingest group by partition",
+    "retried_run": f"""with {FEED}
+select '{R.RUN_NEW}' as run_id, partition, count(*) as n_rows from feed
+where partition <> 'B' group by partition
+union all
+select '{R.RUN_OLD}', case when rec_type in ('T', 'Q') then rec_type else 'B' end, count(*)
+from base group by all""",
+    "analytics_job": f"""with {ANALYTICS}
+select * from analytics where trade_dt = (select max(trade_dt) from trades)""",
+    "string_time_analytics": f"""with {ANALYTICS}
+select * from analytics where trade_dt = (select max(trade_dt) from trades)""",
     "ingest_union": _ingest_rows() + " select * from ingest",
     "ingest_partition_counts": _ingest_rows()
     + " select partition, count(*) as n_rows from ingest group by partition",

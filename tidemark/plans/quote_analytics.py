@@ -15,10 +15,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.operators import analytics
-from tidemark.operators.series import BUCKET_SECONDS, MOVING_AVERAGE_SECONDS
+from tidemark.operators.series import MOVING_AVERAGE_SECONDS
 from tidemark.sources import sinks, tables
 
 KEYS = ("trade_dt", "symbol", "exchange")
@@ -27,37 +26,33 @@ KEYS = ("trade_dt", "symbol", "exchange")
 def analytics_all_dates(trades: DataFrame, quotes: DataFrame,
                         keys: Sequence[str] = KEYS, close_mode: str = "calendar",
                         window_seconds: int = MOVING_AVERAGE_SECONDS,
-                        bucket_seconds: int | str = BUCKET_SECONDS) -> DataFrame:
+                        parts: int | None = None) -> DataFrame:
     """Analytical rows for every quote of every date."""
     close = analytics.previous_close(
         trades, keys, mode=close_mode,
         next_dates=quotes.select("trade_dt") if close_mode == "available" else None)
     return analytics.enrich_quotes(trades, quotes, close, keys,
-                                   window_seconds=window_seconds,
-                                   bucket_seconds=bucket_seconds)
+                                   window_seconds=window_seconds, parts=parts)
 
 
 def analytics_for_date(spark: SparkSession, eod_base: str, day=None,
                        window_seconds: int = MOVING_AVERAGE_SECONDS,
-                       bucket_seconds: int | str = BUCKET_SECONDS) -> DataFrame:
+                       parts: int | None = None) -> DataFrame:
     """Analytical rows of one date (default: latest trade date)."""
-    trade_table = tables.read_table(spark, f"{eod_base}/trade")
     if day is None:
-        day = tables.latest_date_value(trade_table)
-    prev = tables.previous_date(day)
+        day = tables.latest_date(spark, f"{eod_base}/trade")
     trades, quotes = tables.read_eod_date(spark, eod_base, day)
-    prev_trades = trade_table.where(F.col("trade_dt") == F.lit(prev))
+    prev_trades = tables.with_time(
+        tables.read_date(spark, f"{eod_base}/trade", tables.previous_date(day)))
     # The previous day's close, re-labelled with the processed day.
     close = analytics.previous_close(prev_trades, KEYS, mode="calendar")
     return analytics.enrich_quotes(trades, quotes, close, KEYS,
-                                   window_seconds=window_seconds,
-                                   bucket_seconds=bucket_seconds)
+                                   window_seconds=window_seconds, parts=parts)
 
 
 def run_analytics(spark: SparkSession, eod_base: str, out_base: str, day=None) -> DataFrame:
     """Compute one date and write it to ``<out_base>/date=<day>``."""
-    trade_table = tables.read_table(spark, f"{eod_base}/trade")
-    day = day or tables.latest_date_value(trade_table)
+    day = day or tables.latest_date(spark, f"{eod_base}/trade")
     out = analytics_for_date(spark, eod_base, day)
     sinks.write_analytics(out, out_base, day)
     return out

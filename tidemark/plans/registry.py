@@ -28,7 +28,6 @@ RUN_OLD, RUN_NEW = "20240101_000000_000001", "20240102_000000_000002"
 # Job looked up by the job-status lookup check.
 LOOKUP_JOB = "error_2024-01-15"
 TOP_N = 20
-SAMPLE_LINES = 500
 
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
@@ -89,10 +88,37 @@ def bad_record_routing(spark, d):
     return both.where(F.col("partition") == schema.BAD)
 
 
-def text_scan_limit(spark, d):
-    csv_root, _ = _submission_roots(spark, d)
-    lines = text.read_lines(spark, csv_root, limit_n=SAMPLE_LINES)
-    return parse.parse_csv_lines(lines, ntz=True)
+def _wall_clock(df: DataFrame) -> DataFrame:
+    """Session-zone timestamps as the wall clock they show, so that results
+    do not depend on the session time zone."""
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("event_tm", "arrival_tm")})
+
+
+def csv_parse_timestamps(spark, d):
+    return _wall_clock(parse.parse_csv_lines(market_feed.csv_lines(_events(spark, d))))
+
+
+def json_parse_timestamps(spark, d):
+    return _wall_clock(parse.parse_json_lines(market_feed.json_lines(_events(spark, d))))
+
+
+def text_scan(spark, d):
+    # Every line of both roots, by root and format.
+    csv_root, json_root = _submission_roots(spark, d)
+    lines = (text.read_lines(spark, csv_root).withColumn("root", F.lit("csv"))
+             .unionByName(text.read_lines(spark, json_root).withColumn("root", F.lit("json"))))
+    return lines.groupBy("root", F.col("value").startswith("{").alias("is_json")).agg(
+        F.count(F.lit(1)).alias("n_lines"))
+
+
+def ingest_job(spark, d):
+    """The whole job through its sink: rows written, rows observed."""
+    base = scratch.scratch_path(spark, "ingest-job")
+    run_id, seen = ingest.run_ingest(spark, *_submission_roots(spark, d), base, RUN_NEW, ntz=True)
+    written = quality.counts_by(tables.read_run(spark, base, run_id), "partition", name="n_written")
+    observed = F.create_map(*[F.lit(x) for p in (schema.QUOTE, schema.TRADE, schema.BAD)
+                              for x in (p, int(seen[p] or 0))])
+    return written.withColumn("n_observed", observed[F.col("partition")].cast("bigint"))
 
 
 # --- run tables and end-of-day ---------------------------------------------
@@ -107,11 +133,20 @@ def _write_runs(spark, d) -> str:
 def parquet_partition_roundtrip(spark, d):
     base = scratch.scratch_path(spark, "run")
     sinks.write_run(_feed(spark, d), base, RUN_NEW)
-    return tables.read_partition(spark, base, partition=schema.TRADE)
+    return tables.read_partition(spark, base, run_id=RUN_NEW, partition=schema.TRADE)
+
+
+def retried_run(spark, d):
+    # The first try also wrote bad records; the second replaces the run.
+    base = scratch.scratch_path(spark, "retried")
+    sinks.write_run(_feed(spark, d, corrections=False), base, RUN_OLD)
+    sinks.write_run(_feed(spark, d), base, RUN_NEW)
+    sinks.write_run(_feed(spark, d).where(F.col("partition") != schema.BAD), base, RUN_NEW)
+    return quality.counts_by(tables.read_table(spark, base), "run_id", "partition", name="n_rows")
 
 
 def latest_run(spark, d):
-    return tables.latest_run(tables.read_table(spark, _write_runs(spark, d)))
+    return tables.read_latest_run(spark, _write_runs(spark, d)).withColumn("run_id", F.lit(RUN_NEW))
 
 
 def _write_eod(spark, d) -> str:
@@ -122,12 +157,16 @@ def _write_eod(spark, d) -> str:
 
 
 def latest_trade_date(spark, d):
-    return tables.latest_date(tables.read_table(spark, f"{_write_eod(spark, d)}/trade"))
+    base = f"{_write_eod(spark, d)}/trade"
+    rows = tables.read_date(spark, base, tables.latest_date(spark, base))
+    return rows.agg(F.max("trade_dt").alias("latest_dt")).withColumn(
+        "previous_dt", F.date_sub("latest_dt", 1))
 
 
 def previous_trade_date(spark, d):
-    return tables.previous_available_date(
-        tables.read_table(spark, f"{_write_eod(spark, d)}/trade"))
+    base = f"{_write_eod(spark, d)}/trade"
+    rows = tables.read_date(spark, base, tables.previous_available_date(spark, base))
+    return rows.agg(F.max("trade_dt").alias("previous_dt"))
 
 
 def eod_trades_latest(spark, d):
@@ -140,8 +179,8 @@ def eod_quotes_latest(spark, d):
 
 def latest_with_tiebreaker(spark, d):
     # Latest event of every symbol, exchange and day: hot keys (six per day).
-    return latest.keep_latest(_feed(spark, d), ["trade_dt", "symbol", "exchange"],
-                              "arrival_tm", ["event_seq_nb", "rec_type"])
+    return latest.newest(_feed(spark, d), ["trade_dt", "symbol", "exchange"],
+                         ["arrival_tm", "event_seq_nb", "rec_type"])
 
 
 def eod_counts_by_date(spark, d):
@@ -177,16 +216,11 @@ def previous_close_available(spark, d):
     return analytics.previous_close(tr, mode="available", next_dates=qu.select("trade_dt"))
 
 
-# Largest close table broadcast after a bounded count (rows: key-days).
-CLOSE_BROADCAST_MAX_ROWS = 1_000_000
-
-
 def close_join(spark, d):
     # J1 as a standalone join: quotes of every date with the previous close.
     tr, qu = _eod_pair(spark, d)
     return analytics.join_close(qu, analytics.previous_close(tr),
-                                ["trade_dt", "symbol", "exchange"],
-                                broadcast_max_rows=CLOSE_BROADCAST_MAX_ROWS)
+                                ["trade_dt", "symbol", "exchange"])
 
 
 def _timeline(spark, d):
@@ -218,6 +252,23 @@ def latest_date_analytics(spark, d):
     return _round(out, "mov_avg_pr", "last_mov_avg_pr")
 
 
+def analytics_job(spark, d):
+    """The job through its sink, read back from the date's folder."""
+    base, out = _write_eod(spark, d), scratch.scratch_path(spark, "analytics")
+    quote_analytics.run_analytics(spark, base, out)
+    return _round(tables.read_table(spark, out).drop("date"), "mov_avg_pr", "last_mov_avg_pr")
+
+
+def string_time_analytics(spark, d):
+    """End-of-day tables whose times are text, as other writers leave them."""
+    base = scratch.scratch_path(spark, "text-times")
+    for name, rows in zip(("trade", "quote"), _eod_pair(spark, d), strict=True):
+        sinks.write_eod(rows.withColumn("event_tm", F.col("event_tm").cast("string")), f"{base}/{name}")
+    out = quote_analytics.analytics_for_date(spark, base)
+    return _round(out.withColumn("event_tm", F.col("event_tm").cast("timestamp_ntz")),
+                  "mov_avg_pr", "last_mov_avg_pr")
+
+
 def quote_reconciliation(spark, d):
     tr, qu = _eod_pair(spark, d)
     return quality.reconcile(qu, quote_analytics.analytics_all_dates(tr, qu))
@@ -265,7 +316,13 @@ QUERIES: dict[str, Query] = {
     "ingest_union": ingest_union,
     "ingest_partition_counts": ingest_partition_counts,
     "bad_record_routing": bad_record_routing,
-    "text_scan_limit": text_scan_limit,
+    "csv_parse_timestamps": csv_parse_timestamps,
+    "json_parse_timestamps": json_parse_timestamps,
+    "text_scan": text_scan,
+    "ingest_job": ingest_job,
+    "retried_run": retried_run,
+    "analytics_job": analytics_job,
+    "string_time_analytics": string_time_analytics,
     "parquet_partition_roundtrip": parquet_partition_roundtrip,
     "latest_run": latest_run,
     "latest_trade_date": latest_trade_date,

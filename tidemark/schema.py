@@ -37,9 +37,6 @@ ANALYTIC_COLUMNS = [
     "ask_pr_mv",
 ]
 
-# The job-status row.
-JOB_STATUS_COLUMNS = ["job_id", "status", "updated_time"]
-
 
 def event_schema(ntz: bool = False) -> T.StructType:
     ts = T.TimestampNTZType() if ntz else T.TimestampType()
@@ -60,8 +57,3 @@ def event_schema(ntz: bool = False) -> T.StructType:
     ])
 
 
-JOB_STATUS_SCHEMA = T.StructType([
-    T.StructField("job_id", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("updated_time", T.TimestampType()),
-])

@@ -14,6 +14,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_leaving: set[str] = set()
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The session's shared checkpoint folder.
 
@@ -32,8 +35,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder path below the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique folder path below the shared checkpoint folder.  The
+    application's folder is removed when the driver ends."""
+    top = f"{checkpoint_root(spark)}/tidemark/{spark.sparkContext.applicationId}"
+    if top not in _leaving:
+        path = spark._jvm.org.apache.hadoop.fs.Path(top)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+        _leaving.add(top)
+    return f"{top}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -29,10 +29,10 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str],
 
 def write_run(events: DataFrame, base: str, run_id: str,
               partition_col: str = "partition") -> None:
-    """Append one ingest run as ``run_id=<id>/partition=<T|Q|B>``; earlier
-    runs stay (dynamic overwrite of this run only)."""
-    write_partitioned(events.withColumn("run_id", F.lit(run_id)), base,
-                      ["run_id", partition_col], overwrite="dynamic")
+    """One ingest run as ``run_id=<id>/partition=<T|Q|B>``.  The run's folder
+    is replaced whole, so a repeated run leaves nothing of an earlier try;
+    other runs stay."""
+    write_partitioned(events, f"{base}/run_id={run_id}", [partition_col])
 
 
 def write_eod(df: DataFrame, path: str, overwrite: str = "static") -> None:

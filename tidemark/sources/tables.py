@@ -1,7 +1,8 @@
 """Partitioned Parquet tables: run selection, date selection, date reads.
 
-Selections are filters on partition columns, so Spark prunes directories
-(``PartitionFilters`` in the plan) instead of our code building leaf paths.
+The latest run or date comes from the folder listing, without opening a file;
+reads then name the run's folder or filter the date column by a literal, which
+prunes directories (``PartitionFilters`` in the plan).
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 RUN_COL = "run_id"
 PARTITION_COL = "partition"
@@ -29,54 +31,58 @@ def read_partition(spark: SparkSession, base: str, **equals) -> DataFrame:
     return df
 
 
-def latest_run_id(runs: DataFrame, run_col: str = RUN_COL) -> str:
+def partition_values(spark: SparkSession, base: str, column: str) -> list[str]:
+    """Values of the ``column=value`` folders of ``base``, sorted.
+
+    A folder listing: no file of the table is opened.  A missing folder has
+    no values; the null partition is not one.
+    """
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
+    found = {n.partition("=")[2] for n in names if n.startswith(f"{column}=")}
+    return sorted(found - {"__HIVE_DEFAULT_PARTITION__"})
+
+
+def latest_run_id(spark: SparkSession, base: str, run_col: str = RUN_COL) -> str:
     """Largest run id (ids are fixed-width UTC stamps, so name order is time
-    order).  Raises ``ValueError`` when the table holds no run."""
-    latest = runs.agg(F.max(run_col)).first()[0]
-    if latest is None:
-        raise ValueError("no run found")
-    return latest
+    order).  Raises ``ValueError`` when there is no run."""
+    runs = partition_values(spark, base, run_col)
+    if not runs:
+        raise ValueError(f"no run found in {base}")
+    return runs[-1]
 
 
-def latest_run(runs: DataFrame, run_col: str = RUN_COL) -> DataFrame:
-    """Rows of the latest run only, without a driver round trip: the
-    max is a one-row aggregate joined back (broadcast: one row)."""
-    last = runs.agg(F.max(run_col).alias("_tm_last"))
-    return (runs.join(F.broadcast(last), F.col(run_col) == F.col("_tm_last"))
-            .drop("_tm_last"))
+def read_run(spark: SparkSession, base: str, run_id: str, run_col: str = RUN_COL) -> DataFrame:
+    """One run of a run table: only its folder is listed and read."""
+    return spark.read.parquet(f"{base}/{run_col}={run_id}")
 
 
 def read_latest_run(spark: SparkSession, base: str, run_col: str = RUN_COL) -> DataFrame:
-    """The latest run of a run-partitioned table, pruned to that run."""
-    runs = spark.read.parquet(base)
-    return runs.where(F.col(run_col) == F.lit(latest_run_id(runs, run_col))).drop(run_col)
+    """The latest run of a run table."""
+    return read_run(spark, base, latest_run_id(spark, base, run_col), run_col)
 
 
-def latest_date(df: DataFrame, date_col: str = DATE_COL) -> DataFrame:
-    """One row: the latest date (``latest_dt``) and the calendar day before
-    it (``previous_dt``)."""
-    return df.agg(F.max(date_col).alias("latest_dt")).withColumn(
-        "previous_dt", F.date_sub(F.col("latest_dt"), 1))
+def dates(spark: SparkSession, base: str, date_col: str = DATE_COL) -> list[_dt.date]:
+    """The dates of a date-partitioned table, ascending."""
+    return [_dt.date.fromisoformat(v) for v in partition_values(spark, base, date_col)]
 
 
-def previous_available_date(df: DataFrame, date_col: str = DATE_COL) -> DataFrame:
-    """One row: the latest date before the latest one (``previous_dt``).
-
-    Distinct dates are bounded by the calendar; the latest date is a
-    one-row frame, so broadcasting it is safe.
-    """
-    dates = df.select(F.col(date_col).alias("_tm_d")).distinct()
-    last = dates.agg(F.max("_tm_d").alias("_tm_last"))
-    return (dates.join(F.broadcast(last), F.col("_tm_d") < F.col("_tm_last"))
-            .agg(F.max("_tm_d").alias("previous_dt")))
+def latest_date(spark: SparkSession, base: str, date_col: str = DATE_COL) -> _dt.date:
+    """The latest date of a date-partitioned table; ``ValueError`` if none."""
+    found = dates(spark, base, date_col)
+    if not found:
+        raise ValueError(f"no date found in {base}")
+    return found[-1]
 
 
-def latest_date_value(df: DataFrame, date_col: str = DATE_COL) -> _dt.date:
-    """The latest date as a Python value (for pruning a later scan)."""
-    value = df.agg(F.max(date_col)).first()[0]
-    if value is None:
-        raise ValueError("no date found")
-    return value
+def previous_available_date(spark: SparkSession, base: str, date_col: str = DATE_COL) -> _dt.date | None:
+    """The latest date before the latest one (None if there is only one)."""
+    found = dates(spark, base, date_col)
+    return found[-2] if len(found) > 1 else None
 
 
 def previous_date(day: _dt.date) -> _dt.date:
@@ -89,10 +95,18 @@ def read_date(spark: SparkSession, base: str, day, date_col: str = DATE_COL) ->
     return spark.read.parquet(base).where(F.col(date_col) == F.lit(day))
 
 
+def with_time(df: DataFrame, time_col: str = "event_tm") -> DataFrame:
+    """``df`` with a text ``time_col`` as ``timestamp`` (bad times: NULL);
+    other types stay."""
+    if not isinstance(df.schema[time_col].dataType, StringType):
+        return df
+    return df.withColumn(time_col, F.col(time_col).try_cast("timestamp"))
+
+
 def read_eod_date(spark: SparkSession, eod_base: str, day) -> tuple[DataFrame, DataFrame]:
     """(trades, quotes) of one date from an end-of-day table root."""
-    return (read_date(spark, f"{eod_base}/trade", day),
-            read_date(spark, f"{eod_base}/quote", day))
+    return (with_time(read_date(spark, f"{eod_base}/trade", day)),
+            with_time(read_date(spark, f"{eod_base}/quote", day)))
 
 
 def preview(df: DataFrame, n: int = 5) -> tuple[str, DataFrame]:

@@ -9,20 +9,16 @@ SUBMISSION_GLOB = "*.txt"
 
 
 def read_lines(spark: SparkSession, root: str, glob: str = SUBMISSION_GLOB,
-               recursive: bool = True, limit_n: int = 0) -> DataFrame:
+               recursive: bool = True) -> DataFrame:
     """All lines of the files below ``root`` whose names match ``glob``.
 
-    ``limit_n > 0`` keeps only that many lines (a sampling switch for trial
-    runs; 0 reads everything).  The scan splits files across tasks, so it
-    scales with the number and size of files.
+    The scan splits files across tasks, so it scales with the number and
+    size of files.
     """
     reader = spark.read.format("text").option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    lines = reader.load(root)
-    if limit_n:
-        lines = lines.limit(limit_n)
-    return lines
+    return reader.load(root)
 
 
 def write_lines(lines: DataFrame, path: str, value: str = "value") -> None:
