@@ -7,26 +7,26 @@ from pyspark.sql import functions as F
 from tidemark.operators import latest
 
 
-def test_keep_latest_null_arrival(spark):
+def test_newest_null_arrival(spark):
     df = spark.createDataFrame(
         [(1, None, "a"), (1, 2020, "b"), (1, 2021, "c"), (2, None, "z")],
         "k int, arrival int, v string")
-    got = {r.k: r.v for r in latest.keep_latest(df, ["k"], "arrival").collect()}
+    got = {r.k: r.v for r in latest.newest(df, ["k"], ["arrival"]).collect()}
     assert got == {1: "c", 2: "z"}
 
 
-def test_keep_latest_tiebreaker_and_null_key_group(spark):
+def test_newest_tiebreaker_and_null_key_group(spark):
     df = spark.createDataFrame(
         [(None, 5, 1.0), (None, 5, 3.0), (None, 4, 9.0), ("a", 1, 2.0)],
         "k string, arrival int, p double")
     got = sorted((r.k or "", r.p) for r in
-                 latest.keep_latest(df, ["k"], "arrival", ["p"]).collect())
+                 latest.newest(df, ["k"], ["arrival", "p"]).collect())
     assert got == [("", 3.0), ("a", 2.0)]
 
 
-def test_keep_latest_plan_limits_before_shuffle(spark):
+def test_newest_plan_limits_before_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
-    plan = latest.keep_latest(df, ["k"], "t")._jdf.queryExecution().executedPlan().toString()
+    plan = latest.newest(df, ["k"], ["t"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
 
 
@@ -46,5 +46,5 @@ def test_upsert_newer_write_wins(spark):
 
 
 def test_daily_job_id(spark):
-    df = spark.createDataFrame([("analytical_etl", dt.date(2024, 1, 5))], "n string, d date")
-    assert df.select(latest.daily_job_id("n", "d")).first()[0] == "analytical_etl_2024-01-05"
+    df = spark.createDataFrame([("nightly_load", dt.date(2024, 1, 5))], "n string, d date")
+    assert df.select(latest.daily_job_id("n", "d")).first()[0] == "nightly_load_2024-01-05"

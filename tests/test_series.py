@@ -67,54 +67,48 @@ def _random_market(spark, n_trades, n_quotes, seed, ts_type="timestamp_ntz"):
     return trades, quotes
 
 
-@pytest.mark.parametrize("bucket", [1, 7, 60, 3600])
-def test_moving_average_matches_whole_key_window(spark, bucket):
-    trades, _ = _random_market(spark, 600, 0, seed=bucket)
-    keys = list(series.DEFAULT_KEYS)
-    cols = keys + ["event_tm", "event_seq_nb", "trade_pr", "mov_avg_pr"]
-    assert naive.rows(series.moving_average(trades), cols) == \
-        naive.rows(naive.naive_moving_average(trades, keys), cols)
-
-
-@pytest.mark.parametrize("bucket", [1, 60, 3600, "auto"])
-def test_forward_fill_matches_whole_key_window(spark, bucket):
-    trades, quotes = _random_market(spark, 300, 300, seed=10 + len(str(bucket)))
-    keys = list(series.DEFAULT_KEYS)
-    tl = series.timeline(naive.naive_moving_average(trades, keys), quotes)
+@pytest.mark.parametrize("seed", [1, 7, 60])
+def test_moving_average_matches_brute_force(spark, seed):
+    trades, _ = _random_market(spark, 600, 0, seed)
+    trades = trades.cache()
+    cols = [*naive.KEYS, "event_tm", "event_seq_nb", "trade_pr", "mov_avg_pr"]
+    assert naive.rows(naive.dicts(series.moving_average(trades)), cols) == \
+        naive.rows(naive.averages(naive.dicts(trades)), cols)
+
+
+@pytest.mark.parametrize("parts", [None, 1, 5, 40])
+def test_forward_fill_matches_brute_force(spark, parts):
+    trades, quotes = _random_market(spark, 300, 300, seed=10)
+    tl = series.timeline(series.moving_average(trades), quotes).cache()
     fills = {"last_trade_pr": "trade_pr", "last_mov_avg_pr": "mov_avg_pr"}
-    got = series.forward_fill(tl, fills, keys, bucket_seconds=bucket)
-    exp = naive.naive_fill(tl, keys)
+    got = series.forward_fill(tl, fills, naive.KEYS, parts=parts)
     cols = tl.columns + list(fills)
-    assert naive.rows(got, cols) == naive.rows(exp, cols)
-
-
-@pytest.mark.parametrize("bucket,ts_type", [(1, "timestamp_ntz"), (60, "timestamp"),
-                                            (900, "timestamp_ntz"), (7200, "timestamp"),
-                                            ("auto", "timestamp_ntz")])
-def test_enrich_quotes_matches_reference_formulation(spark, bucket, ts_type):
-    trades, quotes = _random_market(spark, 500, 500, seed=len(str(bucket)), ts_type=ts_type)
-    keys = list(series.DEFAULT_KEYS)
-    close = analytics.previous_close(trades, keys)
-    got = analytics.enrich_quotes(trades, quotes, close, keys, bucket_seconds=bucket)
-    exp = naive.naive_analytics(trades, quotes, close, keys)
+    assert naive.rows(naive.dicts(got), cols) == naive.rows(naive.filled(naive.dicts(tl)), cols)
+
+
+@pytest.mark.parametrize("parts,ts_type", [(None, "timestamp_ntz"), (7, "timestamp"), (30, "timestamp_ntz")])
+def test_enrich_quotes_matches_brute_force(spark, parts, ts_type):
+    trades, quotes = (x.cache() for x in _random_market(spark, 400, 400, seed=parts or 0, ts_type=ts_type))
+    close = analytics.previous_close(trades, naive.KEYS).cache()
+    got = analytics.enrich_quotes(trades, quotes, close, naive.KEYS, parts=parts)
+    by_key = {tuple(c[k] for k in naive.KEYS): c["close_pr"] for c in naive.dicts(close)}
     assert got.columns == schema.ANALYTIC_COLUMNS
-    assert naive.rows(got, schema.ANALYTIC_COLUMNS) == naive.rows(exp, schema.ANALYTIC_COLUMNS)
-    assert got.count() == quotes.count()
+    assert naive.rows(naive.dicts(got), schema.ANALYTIC_COLUMNS) == naive.rows(
+        naive.analytics(naive.dicts(trades), naive.dicts(quotes), by_key), schema.ANALYTIC_COLUMNS)
 
 
-def test_enrich_quotes_reference_keys_single_date(spark):
-    # The reference keys windows by (symbol, exchange) for one loaded date.
+def test_enrich_quotes_keys_of_a_single_date(spark):
     trades, quotes = _random_market(spark, 300, 300, seed=5)
     day = dt.date(2020, 8, 5)
-    trades = trades.where(F.col("trade_dt") == day)
-    quotes = quotes.where(F.col("trade_dt") == day)
+    trades, quotes = (x.where(F.col("trade_dt") == day).cache() for x in (trades, quotes))
     keys = ["symbol", "exchange"]
     prev = trades.where(F.col("event_seq_nb") < 25)   # stands in for the previous day
-    close = analytics.previous_close(prev, keys)
+    close = analytics.previous_close(prev, keys).cache()
     assert close.columns == keys + ["close_pr"]
-    got = analytics.enrich_quotes(trades, quotes, close, keys, bucket_seconds=300)
-    exp = naive.naive_analytics(trades, quotes, close, keys)
-    assert naive.rows(got, schema.ANALYTIC_COLUMNS) == naive.rows(exp, schema.ANALYTIC_COLUMNS)
+    got = analytics.enrich_quotes(trades, quotes, close, keys, parts=6)
+    by_key = {tuple(c[k] for k in keys): c["close_pr"] for c in naive.dicts(close)}
+    assert naive.rows(naive.dicts(got), schema.ANALYTIC_COLUMNS) == naive.rows(
+        naive.analytics(naive.dicts(trades), naive.dicts(quotes), by_key, keys), schema.ANALYTIC_COLUMNS)
 
 
 def test_previous_close_modes(spark):
@@ -133,31 +127,32 @@ def test_previous_close_modes(spark):
     assert avail == {(d(4), 2.0), (d(5), 2.0), (d(6), 2.0), (d(7), 3.0)}
 
 
-def test_flagship_plan_shuffles_events_once(spark):
+def _range_sizes(spark, rows, parts):
+    df = spark.createDataFrame(rows, "symbol string, event_tm timestamp_ntz, event_seq_nb long, rec_sort int")
+    cut = series.range_parts(df, ["symbol"], ["event_tm", "event_seq_nb", "rec_sort"], parts)
+    return [r["count"] for r in cut.groupBy(series.PART).count().collect()]
+
+
+def test_a_burst_spreads_over_ranges(spark):
+    # A whole key within ten seconds, and one row far away.
+    rows = [("A", _at(9, 30, i % 10, i % 1000), i, 0) for i in range(20_000)] + [("A", _at(23, 50, 0), 0, 0)]
+    assert max(_range_sizes(spark, rows, 20)) <= 2 * 1000
+
+
+def test_one_second_and_missing_times_spread_over_ranges(spark):
+    rows = [("A", _at(9, 30, 0), i, 0) for i in range(10_000)] + [("A", None, i, 0) for i in range(10_000)]
+    assert max(_range_sizes(spark, rows, 20)) <= 2 * 1000
+
+
+def test_sparse_keys_beside_a_hot_one_stay_whole(spark):
+    rows = [("hot", _at(9, i // 600, i // 10 % 60), i, 0) for i in range(20_000)]
+    rows += [(f"s{i % 500}", _at(9, i % 60, i % 59), i, 0) for i in range(5_000)]
+    sizes = _range_sizes(spark, rows, 25)
+    assert max(sizes) <= 2 * 1000 and len(sizes) <= 500 + 2 * 25
+
+
+def test_the_timeline_is_computed_once(spark):
     trades, quotes = _random_market(spark, 50, 50, seed=1)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        out = analytics.enrich_quotes(trades, quotes, analytics.previous_close(trades))
-        plan = out._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # The final join reuses the timeline's (key, bucket) partitioning: the
-    # SortMergeJoin's left child is the window, not a new Exchange.
-    smj = plan[plan.index("SortMergeJoin"):]
-    left = smj.split("\n")[1]
-    assert "Project" in left or "Window" in left or "Filter" in left
-    assert plan.count("hashpartitioning(_tm_part") == 2
-
-
-def test_auto_bucket_width_follows_density(spark):
-    from tidemark.operators.series import SEC, bucket_width
-    dense = spark.range(100_000).selectExpr("'A' as symbol", "id div 10 as " + SEC)
-    sparse = spark.range(100).selectExpr("'A' as symbol", "id * 1000 as " + SEC)
-    w_dense = spark.range(1).select(bucket_width([dense], ["symbol"], rows_per_bucket=1000)
-                                    .alias("w")).first().w
-    w_sparse = spark.range(1).select(bucket_width([sparse], ["symbol"], rows_per_bucket=1000)
-                                     .alias("w")).first().w
-    assert w_dense == 100          # 10 rows per second -> 1000 rows per 100 s
-    assert w_sparse == 86_400      # clamped to one day
+    out = analytics.enrich_quotes(trades, quotes, None)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" not in plan and "LogicalRDD" not in plan and "Relation" in plan

@@ -1,14 +1,14 @@
-"""Scans and sinks: recursive text scan, run and date tables, streaming."""
+"""Scans and sinks: recursive text scan, run and date tables."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from tidemark import schema
 from tidemark.plans import eod, ingest, market_feed, quote_analytics
 from tidemark.sources import scratch, sinks, tables, text
-from tidemark.streaming.ingest_stream import start_ingest_stream
 
 
 def _events(spark):
@@ -17,10 +17,26 @@ def _events(spark):
 
 def test_scratch_is_under_checkpoint_dir(spark):
     root = scratch.checkpoint_root(spark)
-    assert scratch.scratch_path(spark, "x").startswith(root + "/tidemark/x-")
+    path = scratch.scratch_path(spark, "x")
+    assert path.startswith(f"{root}/tidemark/{spark.sparkContext.applicationId}/x-")
 
 
-def test_text_scan_recursive_glob_and_limit(spark):
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+            getConf = staticmethod(Conf)
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError):
+        scratch.checkpoint_root(Session())
+
+
+def test_text_scan_recursive_glob(spark):
     ev = _events(spark)
     csv_root, json_root = market_feed.write_submissions(
         spark, ev, scratch.scratch_path(spark, "subm"))
@@ -28,7 +44,6 @@ def test_text_scan_recursive_glob_and_limit(spark):
     n_even = ev.where(F.col("event_id") % 2 == 0).count()
     n_noise = ev.where((F.col("event_id") % 2 == 1) & (F.col("event_id") % 5 == 0)).count()
     assert lines.count() == n_even + n_noise          # the .json folder is skipped
-    assert text.read_lines(spark, csv_root, limit_n=7).count() == 7
     events = ingest.parse_roots(spark, csv_root, json_root)
     assert events.count() == ev.count()                # noise lines dropped
 
@@ -42,7 +57,23 @@ def test_run_ingest_observes_counts(spark):
     assert counts["rows"] == ev.count() == counts["Q"] + counts["T"] + counts["B"]
     written = tables.read_table(spark, f"{base}/runs")
     assert written.where(F.col("partition") == "T").count() == counts["T"]
-    assert tables.latest_run_id(written) == run_id
+    assert tables.latest_run_id(spark, f"{base}/runs") == run_id
+
+
+def test_no_run_is_an_error(spark, tmp_path):
+    for base in (str(tmp_path), str(tmp_path / "missing")):
+        with pytest.raises(ValueError):
+            tables.latest_run_id(spark, base)
+        with pytest.raises(ValueError):
+            tables.latest_date(spark, base)
+
+
+def test_a_repeated_run_replaces_the_first(spark):
+    feed = market_feed.market_events(_events(spark))
+    base = scratch.scratch_path(spark, "runs")
+    sinks.write_run(feed, base, "20240101_000000_000001")
+    sinks.write_run(feed.where("partition = 'T'"), base, "20240101_000000_000001")
+    assert {r.partition for r in tables.read_latest_run(spark, base).select("partition").distinct().collect()} == {"T"}
 
 
 def test_latest_run_and_eod_overwrite_modes(spark):
@@ -58,7 +89,7 @@ def test_latest_run_and_eod_overwrite_modes(spark):
     n_dates = trade.select("trade_dt").distinct().count()
     assert n_dates > 1
     # static overwrite of one date drops the others; dynamic keeps them
-    one = trade.where(F.col("trade_dt") == tables.latest_date_value(trade))
+    one = trade.where(F.col("trade_dt") == tables.latest_date(spark, f"{eod_base}/trade"))
     dyn = scratch.scratch_path(spark, "dyn")
     sinks.write_eod(trade, dyn)
     sinks.write_eod(one, dyn, overwrite="dynamic")
@@ -72,8 +103,7 @@ def test_date_selection_prunes_partitions(spark):
     eod_base = scratch.scratch_path(spark, "eod")
     sinks.write_eod(eod.eod_trades(feed), f"{eod_base}/trade")
     sinks.write_eod(eod.eod_quotes(feed), f"{eod_base}/quote")
-    trade = tables.read_table(spark, f"{eod_base}/trade")
-    day = tables.latest_date_value(trade)
+    day = tables.latest_date(spark, f"{eod_base}/trade")
     assert tables.previous_date(day) == day - dt.timedelta(days=1)
     trades, _ = tables.read_eod_date(spark, eod_base, day)
     plan = trades._jdf.queryExecution().executedPlan().toString()
@@ -81,36 +111,20 @@ def test_date_selection_prunes_partitions(spark):
     out = quote_analytics.analytics_for_date(spark, eod_base)
     assert out.columns == schema.ANALYTIC_COLUMNS
     assert out.count() == tables.read_date(spark, f"{eod_base}/quote", day).count()
-    row = tables.latest_date(trade).first()
-    assert row.latest_dt == day and row.previous_dt == day - dt.timedelta(days=1)
-
-
-def test_streaming_ingest_matches_batch(spark):
-    ev = _events(spark)
-    base = scratch.scratch_path(spark, "stream")
-    csv_root, json_root = market_feed.write_submissions(spark, ev, f"{base}/in")
-    q = start_ingest_stream(spark, csv_root, json_root, f"{base}/out",
-                            f"{base}/checkpoint", trigger_once=True)
-    q.awaitTermination(120)
-    streamed = spark.read.parquet(f"{base}/out")
-    batch = ingest.parse_roots(spark, csv_root, json_root)
-    assert streamed.count() == batch.count()
-    assert (streamed.groupBy("partition").count().orderBy("partition").collect()
-            == batch.groupBy("partition").count().orderBy("partition").collect())
+    assert tables.previous_available_date(spark, f"{eod_base}/trade") < day
 
 
 def test_eod_scan_prunes_columns_and_partitions(spark):
     base = scratch.scratch_path(spark, "runs")
     sinks.write_run(market_feed.market_events(_events(spark)), base, "20240101_000000_000001")
-    runs = tables.read_table(spark, base)
-    trades = eod.eod_trades(runs.where(F.col("run_id") == "20240101_000000_000001"))
+    trades = eod.eod_trades(tables.read_run(spark, base, "20240101_000000_000001"))
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     try:
         plan = trades._jdf.queryExecution().sparkPlan().toString()
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     scan = [line for line in plan.split("\n") if "FileScan parquet" in line][0]
-    assert "PartitionFilters: [isnotnull(run_id" in scan and "(partition" in scan
+    assert "PartitionFilters: [isnotnull(partition" in scan
     read_schema = scan[scan.index("ReadSchema"):]
     assert "bid_pr" not in read_schema and "trade_pr" in read_schema
 
@@ -132,7 +146,7 @@ def test_run_analytics_writes_date_folder_and_preview(spark):
     sinks.write_eod(eod.eod_quotes(feed), f"{eod_base}/quote")
     out_base = scratch.scratch_path(spark, "analytics")
     out = quote_analytics.run_analytics(spark, eod_base, out_base)
-    day = tables.latest_date_value(tables.read_table(spark, f"{eod_base}/trade"))
+    day = tables.latest_date(spark, f"{eod_base}/trade")
     written = spark.read.parquet(f"{out_base}/date={day}")
     assert written.count() == out.count() > 0
     assert set(written.columns) == set(schema.ANALYTIC_COLUMNS)
