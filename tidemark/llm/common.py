@@ -65,12 +65,13 @@ def only(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
-def pinned(df: DataFrame, name: str) -> DataFrame:
-    """``df`` with a column that is never negative and not deterministic.
+def settled(df: DataFrame) -> DataFrame:
+    """``df``, with all its columns computed before any later filter.
 
-    A filter that also reads it stays above this projection.  Otherwise Spark
-    moves the filter down and repeats in it all the expressions it reads, each
-    as often as it is read: for chained array expressions that grows without
-    bound.
+    A filter on chained array expressions is otherwise moved below them, and
+    repeats in itself every expression it reads, each as often as it is read:
+    that grows without bound.  Filters stay above a projection that is not
+    deterministic; the one here numbers the rows and drops none.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    pin = fresh(df, "pin")
+    return df.withColumn(pin, F.monotonically_increasing_id()).where(F.col(pin) >= 0).drop(pin)

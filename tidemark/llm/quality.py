@@ -24,7 +24,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BLANKS, fresh, only, pinned, replaced, text_or_empty, words_of
+from tidemark.llm.common import BLANKS, fresh, only, replaced, settled, text_or_empty, words_of
 
 # Fixed values of the base test.
 SYMBOLS = "#*$%&|<>"
@@ -124,7 +124,7 @@ def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "short_line_ratio": F.col("n_short_lines") / lines,
     })
     failed, passed = verdict(rules)
-    df = df.withColumns({"failed_rules": failed, "kept": ~F.col("base_failed") & passed})
+    df = settled(df).withColumns({"failed_rules": failed, "kept": ~F.col("base_failed") & passed})
     return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                      "n_repeat_words", "base_failed", "kept", "n_lines", "mean_word_chars",
                      "symbol_ratio", "stop_ratio", "same_word_ratio", "dup_line_ratio",
@@ -154,5 +154,5 @@ def keep(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) ->
     through the projection as one struct; nothing is joined or shuffled."""
     row = F.struct(*[F.col(f"`{c}`").alias(str(i)) for i, c in enumerate(docs.columns)])
     judged = measure(docs.select(row.alias("row"), F.col(f"`{text}`").alias("text")), "row", "text", rules)
-    return (pinned(judged, "pin").where(F.col("kept") & (F.col("pin") >= 0))
+    return (judged.where("kept")
             .select(*[F.col("doc_id")[str(i)].alias(c) for i, c in enumerate(docs.columns)]))

@@ -32,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import only, text_or_empty
+from tidemark.llm.common import only, settled, text_or_empty
 
 # The base kinds in the order they are listed.
 ASSIGN = (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?"""
@@ -177,8 +177,8 @@ def annotate(docs: DataFrame, text: str) -> DataFrame:
             p = F.when(m["encoding"] == e, _least_p(m["value"], alphabet)).otherwise(p)
         return F.struct(m["start"], m["end"], m["encoding"], m["length_class"], p.alias("p"))
 
-    return (df.withColumn("_tokens", F.transform("_token", tested))
-            .drop("_assign", "_access", "_hex", "_token"))
+    return settled(df.withColumn("_tokens", F.transform("_token", tested))
+                   .drop("_assign", "_access", "_hex", "_token"))
 
 
 def _spans(found: Column, order: int, kind: str) -> Column:
