@@ -63,7 +63,7 @@ def shuffle_to_shards(docs: DataFrame, path: str, doc_id: str = "doc_id", text:
     seen, hot_path = Observation(), scratch_path(spark, "hot-rows")
     (df.groupBy("key").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
      .observe(seen, F.sum("size").alias("bytes"), F.sum("n").alias("rows"))
-     .where(F.col("size") > bucket_bytes // 4).select("key").write.parquet(hot_path))
+     .where((F.col("n") > 1) & (F.col("size") > bucket_bytes // 4)).select("key").write.parquet(hot_path))
     total = seen.get
     n_rows = total["rows"] or 0
     n_buckets = max(1, math.ceil((total["bytes"] or 0) / bucket_bytes))
