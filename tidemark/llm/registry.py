@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard, packing, private, quality, repeats, secrets, sharding, urls, warc
+from tidemark.llm import decontaminate, jaccard, oracle, packing, private, quality, repeats, secrets, sharding, urls, warc
 from tidemark.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,4 +92,4 @@ QUERIES: dict[str, Query] = {
     "op9_url_filters": op9_url_filters,
     "op10_jaccard_join": op10_jaccard_join,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracle.ORACLES)
