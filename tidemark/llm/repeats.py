@@ -14,8 +14,8 @@ anywhere else, in the same text or another.
    for all from here on.
 3. Different contexts of one key are dealt out by key.  A task merges what
    overlaps in a text, so that each position stands there once, builds the
-   suffix array of the positions (names of 8, 16 .. bytes by doubling), keeps
-   the classes with different left neighbours, and scans their longest common
+   suffix array of the positions with ``length`` bytes in common, keeps the
+   classes with different left neighbours, and scans their longest common
    prefixes with a stack: each interval of the tree with different left
    neighbours is a maximal repeat, and all its occurrences are marked.
 4. A key with more than ``HOT`` contexts (a passage in very many surroundings)
@@ -46,28 +46,31 @@ from tidemark.llm.jaccard import text_key
 from tidemark.sources.scratch import materialise
 
 LENGTH = 200
-#: Bytes of an anchor; a power of two (hashes are built by doubling).
+#: Bytes of an anchor.
 GRAM = 32
 HOT = 4_000
 BATCH_BYTES = 2 << 20
 _PIECE = 1 << 22
 _PLACE = np.uint64((1 << 24) - 1)
 _C = np.uint64(0x9E3779B97F4A7C15)
+_D = np.uint64(0xBF58476D1CE4E5B9)
 
 
 # --- anchors ----------------------------------------------------------------------
 
 def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
-    """64-bit hashes of all grams, by doubling."""
+    """64-bit hashes of all grams, by doubling; a last step overlaps."""
     h = (data.astype(np.uint64) + np.uint64(1)) * _C
     step = 1
-    with np.errstate(over="ignore"):
-        while step < gram:
-            a = h[:-step] if len(h) > step else h[:0]
-            h = ((a ^ (a >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) + h[step:]
-            step *= 2
-        h = (h ^ (h >> np.uint64(32))) * _C
-        return h ^ (h >> np.uint64(29))
+    while step < gram:
+        ahead = min(step, gram - step)
+        if len(h) <= ahead:
+            return h[:0]
+        a = h[:-ahead]
+        h = ((a ^ (a >> np.uint64(29))) * _D) + h[ahead:]
+        step += ahead
+    h = (h ^ (h >> np.uint64(32))) * _C
+    return h ^ (h >> np.uint64(29))
 
 
 def _window_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -131,26 +134,14 @@ def maximal_repeats(segments: list[bytes], length: int) -> list[tuple[int, list[
     if not len(joined):
         return []
     end = np.repeat(starts + sizes, sizes)
-    # Names of the first 8, 16, .. bytes; they keep the byte order.
-    step, wide = 8, np.zeros(len(joined) + 8, np.uint64)
-    wide[:len(joined)] = joined
-    word = np.zeros(len(joined), np.uint64)
-    for i in range(8):
-        word = (word << np.uint64(8)) | wide[i:i + len(joined)]
     place = np.flatnonzero(np.arange(len(joined)) + length <= end)
-    if length < 8 or not len(place):
-        return _all_pairs(segments, length) if length < 8 else []
-    valid = np.flatnonzero(np.arange(len(joined)) + 8 <= end)
-    name = np.zeros(len(joined), np.int64)
-    name[valid] = np.unique(word[valid], return_inverse=True)[1]
-    while step < length:
-        ahead = min(step, length - step)
-        valid = np.flatnonzero(np.arange(len(joined)) + step + ahead <= end)
-        new = np.zeros(len(joined), np.int64)
-        new[valid] = np.unique((name[valid] << 32) | name[valid + ahead], return_inverse=True)[1]
-        name, step = new, step + ahead
-    order = place[np.argsort(name[place], kind="stable")]
-    names = name[order]
+    if not len(place):
+        return []
+    # Suffixes that share ``length`` bytes stand together: one sort of the
+    # hashes of those bytes.  The scan below compares the bytes themselves.
+    name = gram_hashes(joined, length)[place]
+    by_name = np.argsort(name, kind="stable")
+    order, names = place[by_name], name[by_name]
     first = np.flatnonzero(np.r_[True, names[1:] != names[:-1]])
     ends = np.r_[first[1:], len(order)]
     # Left neighbours; none at the start of a segment.
@@ -185,20 +176,6 @@ def _intervals(suffixes: list[tuple[bytes, int, int]], segments: list[bytes],
     return out
 
 
-def _all_pairs(segments: list[bytes], length: int) -> list[tuple[int, list[tuple[int, int]]]]:
-    """The suffix array of very short lengths, plainly sorted (tests)."""
-    suffixes = sorted((s[p:], k, p) for k, s in enumerate(segments) for p in range(len(s) - length + 1))
-    out, run = [], suffixes[:1]
-    for a, b in zip(suffixes, [*suffixes[1:], (b"", -1, -1)], strict=True):
-        if a[0][:length] == b[0][:length]:
-            run.append(b)
-        else:
-            if len(run) > 1:
-                out += _intervals(run, segments, length)
-            run = [b]
-    return out
-
-
 def marked(contexts: list[tuple[bytes, int, bytes]], length: int) -> list[tuple[bytes, int, int]]:
     """(unit, start, end) of repeats among contexts ``(unit, start, bytes)``;
     contexts of a unit that meet become one segment."""
