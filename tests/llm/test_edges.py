@@ -346,6 +346,14 @@ def test_a_large_group_of_near_copies(spark, monkeypatch):
     assert got == sorted(brute.jaccard(docs))
 
 
+def test_blocks_without_a_row(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 400)  # under a text's size: more blocks than texts
+    base = prose(61, 600).split()
+    docs = [(i, " ".join([*base[:20 * i + 20], f"new{i}", *base[20 * i + 20:]])) for i in range(20)]
+    got = sorted(tuple(r.values()) for r in dicts(jaccard.join(spark.createDataFrame(docs, "doc_id long, text string"))))
+    assert got == sorted(brute.jaccard(docs)) and {r[3] for r in got} == {19}
+
+
 def test_forest_depth():
     assert jaccard.depth_for(0.8) < jaccard.DEPTH
     assert 1 - (1 - 0.8 ** jaccard.depth_for(0.8)) ** jaccard.TREES >= jaccard.RECALL

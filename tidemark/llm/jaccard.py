@@ -150,9 +150,10 @@ def _candidates(nodes: DataFrame) -> DataFrame:
     return components(edges)
 
 
-def link_counts(sets: list[np.ndarray], sides: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """For sets of two sides, links across the sides (within, if there is but
-    one side), and the least index each set is connected to by them."""
+def link_counts(sets: list[np.ndarray], sides: np.ndarray, threshold: float,
+                within: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Links of sets across their sides, or of all sets (``within``), and the
+    least index each set is connected to by them."""
     size = np.array([len(s) for s in sets], np.int64)
     owner = np.repeat(np.arange(len(sets)), size)
     _, which, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -179,7 +180,7 @@ def link_counts(sets: list[np.ndarray], sides: np.ndarray, threshold: float) ->
     union = size[:, None] + size[None, :] - common
     linked = (common * t.denominator >= union * t.numerator) & (common > 0)
     np.fill_diagonal(linked, False)
-    if len(set(sides.tolist())) > 1:
+    if not within:
         linked &= sides[:, None] != sides[None, :]
     root = np.arange(len(sets))
     while True:
@@ -212,14 +213,15 @@ def _verified(docs: DataFrame, nodes: DataFrame, candidates: DataFrame, n: int,
         "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         "block", "node", "shingles")
 
-    def count(group: pa.Table) -> pa.Table:
+    def count(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         group = group.sort_by("node")
+        within = key[1].as_py() == key[2].as_py()  # a block may be empty, so the rows cannot tell
         ids = group["node"].to_numpy()
         keep = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])  # a repeated row may come twice
         found = group["shingles"].combine_chunks()
         sets_ = [np.asarray(found[int(k)].values, np.int64) for k in keep]
         ids = ids[keep]
-        links, root = link_counts(sets_, group["block"].to_numpy()[keep], threshold)
+        links, root = link_counts(sets_, group["block"].to_numpy()[keep], threshold, within)
         return pa.table({"node": ids, "n_links": pa.array(links, pa.int64()), "near": pa.array(ids[root], pa.int64())})
 
     return rows.groupBy("root", "i", "j").applyInArrow(count, "node bigint, n_links bigint, near bigint")
