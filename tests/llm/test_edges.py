@@ -242,6 +242,33 @@ def test_random_tokens_are_told_from_written_ones(spark):
     assert sum(bool(got[i]) for i in range(60, 120)) <= 3
 
 
+def test_copies_of_a_token_leave_other_spans(spark):
+    rng = random.Random(11)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    rows = [(i, f"value {''.join(rng.choice(letters) for _ in range(40))} end") for i in range(40)]
+    read = lambda df: {r["doc_id"]: r["spans"] for r in dicts(secrets.scan(df))}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = read(df)
+    assert sum(map(bool, plain.values())) >= 36
+    tokens = secrets.annotate(df.select("doc_id", "text"), "text").select("doc_id", F.col("_tokens")[0]["p"].alias("p")).collect()
+    for low, high in ((0.3, 0.49), (0.6, 0.9)):
+        copied = next(r["doc_id"] for r in tokens if low < r["p"] < high)
+        copies = spark.createDataFrame([(1000 + i, rows[copied][1]) for i in range(500)], "doc_id long, text string")
+        got = read(df.union(copies))
+        assert {i: got[i] for i in plain} == plain
+
+
+def test_level_of_few_tokens(spark):
+    def level(ps):
+        rows = [(f"{i}", "hex", 3, p, i) for i, p in enumerate(ps)]
+        df = spark.createDataFrame(rows, "text string, encoding string, length_class int, p double, token long")
+        return secrets.levels(df.select(F.array(F.struct("encoding", "length_class", "p", "token")).alias("_tokens"))).get(("hex", 3))
+
+    assert level([0.3]) < 0.3 and level([1e-5] * 30 + [0.3]) < 0.3  # a lone random token
+    assert level([1e-5] * 30) is None and level([0.002]) is None
+    assert level([0.02 * i / 40 for i in range(40)] + [0.9]) >= 0.02
+
+
 def test_private_edges(spark, edges, no_docs):
     got = by_id([(r["doc_id"], r["base_sha256"]) for r in dicts(private.find(edges))])
     assert got == by_id([(d, brute.sha(brute.written(brute.private_base(t)))) for d, t in EDGES])

@@ -15,9 +15,11 @@ URL-safe base64) is tested against "its symbols are random":
 The least of the three p-values, corrected for taking the least, is uniform
 for random tokens and near 0 for written ones.  Short tokens give the tests
 little power, so the acceptance level is set for each encoding and length
-class from the p-values of the whole corpus: twice the tokens above 1/2
-estimates how many random ones there are, and the lowest level is taken at
-which at most ``fdr`` of the accepted tokens are not random.
+class from the p-values of the distinct tokens of the whole corpus: twice the
+tokens above 1/2 estimates how many random ones there are, and the lowest level
+is taken at which at most ``fdr`` of the accepted tokens are not random.  Fewer
+than ``FEW`` accepted tokens give no estimate; they are also accepted if their
+p-values can be uniform ones (a lone token: if its own is above 0.05).
 
 Defined results: a null text counts as empty and has no spans; repeated rows
 give repeated results; an empty table gives an empty result; other columns are
@@ -28,6 +30,7 @@ positions are code points.  ``n_*`` count base spans.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +62,8 @@ LENGTHS = (20, 24, 32, 40, 48, 64, 96, 128)
 #: Levels an encoding and length class can be given.
 LEVELS = (0.001, 0.005, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5)
 FDR = 0.05
+#: Fewer tokens than this above a level are no estimate of how many are random.
+FEW = 10
 MARK = "[SECRET]"
 _BLOCK = 256
 
@@ -175,7 +180,8 @@ def annotate(docs: DataFrame, text: str) -> DataFrame:
         p = F.lit(None).cast("double")
         for e, (alphabet, _) in ENCODINGS.items():
             p = F.when(m["encoding"] == e, _least_p(m["value"], alphabet)).otherwise(p)
-        return F.struct(m["start"], m["end"], m["encoding"], m["length_class"], p.alias("p"))
+        return F.struct(m["start"], m["end"], m["encoding"], m["length_class"], p.alias("p"),
+                        F.xxhash64(m["value"]).alias("token"))
 
     return settled(df.withColumn("_tokens", F.transform("_token", tested))
                    .drop("_assign", "_access", "_hex", "_token"))
@@ -190,23 +196,36 @@ def _spans(found: Column, order: int, kind: str) -> Column:
 
 def levels(annotated: DataFrame, fdr: float = FDR) -> dict[tuple[str, int], float]:
     """Acceptance level of each encoding and length class, from the p-values
-    of the whole corpus.  At most len(ENCODINGS) * len(LENGTHS) rows of counts
-    come to the driver."""
-    above = {f"a{i}": F.sum((F.col("t.p") > level).cast("bigint")) for i, level in enumerate(LEVELS)}
-    rows = (annotated.select(F.explode("_tokens").alias("t"))
-            .groupBy("t.encoding", "t.length_class")
+    of its distinct tokens: copies are one.  At most len(ENCODINGS) *
+    len(LENGTHS) rows of counts come to the driver."""
+    above = {f"a{i}": F.sum((F.col("p") > level).cast("bigint")) for i, level in enumerate(LEVELS)}
+    rows = (annotated.select(F.explode("_tokens").alias("t")).select("t.encoding", "t.length_class", "t.token", "t.p")
+            .distinct().groupBy("encoding", "length_class")
             .agg(*[c.alias(k) for k, c in above.items()]).collect())
     out = {}
     for r in rows:
-        random = r[f"a{len(LEVELS) - 1}"] / (1 - LEVELS[-1])
+        counts = [r[f"a{i}"] for i in range(len(LEVELS))]
+        random = counts[-1] / (1 - LEVELS[-1])
         for i, level in enumerate(LEVELS):
-            accepted = r[f"a{i}"]
-            if accepted and max(0.0, accepted - random * (1 - level)) <= fdr * accepted:
+            accepted = counts[i]
+            if accepted and (max(0.0, accepted - random * (1 - level)) <= fdr * accepted
+                             or accepted < FEW and _even(counts[i:], LEVELS[i:])):
                 out[r["encoding"], r["length_class"]] = level
                 break
     return out
 
 
+def _even(counts: list[int], above: Sequence[float], least: float = 0.05) -> bool:
+    """Whether the p-values above the first level can be uniform ones: at no
+    other level are so few left that chance explains it too seldom."""
+    n = counts[0]
+    for left, level in zip(counts[1:], above[1:], strict=True):
+        q = (1 - level) / (1 - above[0])
+        if sum(math.comb(n, k) * q ** k * (1 - q) ** (n - k) for k in range(left + 1)) < least:
+            return False
+    return True
+
+
 def with_spans(annotated: DataFrame, level: dict[tuple[str, int], float]) -> DataFrame:
     """Adds ``_spans``: base spans and accepted tokens by start, then kind."""
     accepted = F.lit(False)
