@@ -242,6 +242,28 @@ def test_random_tokens_are_told_from_written_ones(spark):
     assert sum(bool(got[i]) for i in range(60, 120)) <= 3
 
 
+def test_random_tokens_of_every_alphabet(spark):
+    rng = random.Random(12)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    mixed = lower + lower.upper()
+    alphabets = [lower + "234567", digits + lower, digits + "ABCDEF", digits + lower.upper(), mixed, mixed + digits + "+/", mixed + digits + "_-"]
+    token = lambda a: "".join(rng.choice(a) for _ in range(40))
+    around = ["value {} end", "get /reset-password/{}?x", "see my_key-a/b/{}/some-more_words"]
+    rows, want = [], {}
+    for i in range(30 * len(alphabets)):
+        form, t = around[i // len(alphabets) % (1 if i % len(alphabets) > 4 else 3)], token(alphabets[i % len(alphabets)])
+        rows.append((i, form.format(t)))
+        want[i] = form.index("{")
+    rows += [(1000 + i, f"see {'-'.join(prose(i, 4).split())}/{'_'.join(prose(900 + i, 6).split())} 2023") for i in range(100)]
+    got = {r["doc_id"]: r["spans"] for r in dicts(secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")))}
+    spans = {i: [tuple(map(int, x.split(":")[1:])) for x in got[i].split(",") if x] for i in got}
+    for a in range(len(alphabets)):  # a span may hold more of the run
+        assert sum(any(x <= want[i] and want[i] + 40 <= y for x, y in spans[i]) for i in want if i % len(alphabets) == a) >= 20, a
+    for found in spans.values():
+        assert not any(u != v and u[0] <= v[0] and v[1] <= u[1] for u in found for v in found)
+    assert not any(got[i] for i in got if i >= 1000)
+
+
 def test_copies_of_a_token_leave_other_spans(spark):
     rng = random.Random(11)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"

@@ -5,8 +5,10 @@ Base kinds are leftmost non-overlapping matches of fixed patterns.  Match
 positions come from splitting a text by the pattern and adding up the lengths
 of the parts and of the matches.
 
-The method: every long token of an encoding alphabet (hex, base32, base64,
-URL-safe base64) is tested against "its symbols are random":
+The method: every long token of an encoding alphabet (hex, base32 and base36
+of either case, base64, URL-safe base64, the latter two also without digits) is
+tested against "its symbols are random".  Runs with separators are tested
+whole, where they are of one alphabet, and in their parts:
 
 * chi-squared test of a uniform alphabet (Wilson-Hilferty);
 * runs test of the upper and lower half of the alphabet;
@@ -46,16 +48,26 @@ LEAST = {"assign": 8, "access": 16, "hex": 32}
 KINDS = ("assign", "access", "hex", "random")
 
 # Encoding alphabets in symbol order, and what a token of the
-# encoding has to hold (letters and digits mixed, so words are no candidates).
+# encoding has to hold (letters and digits, or both cases, mixed, so words of
+# one case are no candidates).  The first that matches is tested; symbols that
+# random tokens of a wider alphabet happen to lack leave them uniform.
+_UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 ENCODINGS = {
-    "hex": ("0123456789abcdef", r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]+$"),
-    "base32": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", r"^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]+$"),
-    "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
-               r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/]+$"),
-    "base64url": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
-                  r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9_-]+$"),
+    "hex": (_DIGITS + "abcdef", r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]+$"),
+    "HEX": (_DIGITS + "ABCDEF", r"^(?=.*[0-9])(?=.*[A-F])[0-9A-F]+$"),
+    "base32": (_UPPER + "234567", r"^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]+$"),
+    "base32lower": (_LOWER + "234567", r"^(?=.*[2-7])(?=.*[a-z])[a-z2-7]+$"),
+    "base36": (_DIGITS + _LOWER, r"^(?=.*[0-9])(?=.*[a-z])[0-9a-z]+$"),
+    "BASE36": (_DIGITS + _UPPER, r"^(?=.*[0-9])(?=.*[A-Z])[0-9A-Z]+$"),
+    "letters": (_UPPER + _LOWER, r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z]+$"),
+    "letters64": (_UPPER + _LOWER + "+/", r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z+/]+$"),
+    "letters64url": (_UPPER + _LOWER + "-_", r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z_-]+$"),
+    "base64": (_UPPER + _LOWER + _DIGITS + "+/", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/]+$"),
+    "base64url": (_UPPER + _LOWER + _DIGITS + "-_", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9_-]+$"),
 }
-#: Least symbols of a tested token.
+#: Tested tokens, of 20 symbols or more: maximal runs without - and _, maximal
+#: runs without + and /, and their parts without any of the four.
+CANDIDATES = {"std": r"[A-Za-z0-9+/]{20,}", "url": r"[A-Za-z0-9_-]{20,}", "part": r"[A-Za-z0-9]{20,}"}
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
 #: Candidates start a new length class at each of these lengths.
 LENGTHS = (20, 24, 32, 40, 48, 64, 96, 128)
@@ -109,17 +121,17 @@ def _tail(z: Column) -> Column:
     return 1 / (1 + F.exp(1.5976 * z + 0.070566 * z * z * z))
 
 
-def _least_p(value: Column, alphabet: str) -> Column:
+def _least_p(value: Column, alphabet: Column) -> Column:
     """The battery's p-value of one token of the alphabet."""
-    k, n = len(alphabet), F.length(value).cast("double")
-    at = F.transform(F.split(value, ""), lambda c: (F.instr(F.lit(alphabet), c) - 1).cast("double"))
+    k, n = F.length(alphabet).cast("double"), F.length(value).cast("double")
+    at = F.transform(F.split(value, ""), lambda c: (F.instr(alphabet, c) - 1).cast("double"))
     # chi-squared: k/n times the squared counts, less n
-    counts = F.transform(F.array(*[F.lit(c) for c in alphabet]),
+    counts = F.transform(F.split(alphabet, ""),
                          lambda c: (F.length(value) - F.length(F.replace(value, c, F.lit("")))).cast("double"))
     squares = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x * x)
-    df = float(k - 1)
+    df = k - 1
     chi = F.greatest(squares * k / n - n, F.lit(0.0))
-    z_chi = (F.pow(chi / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
+    z_chi = (F.pow(chi / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
 
     def rest(xs: Column) -> Column:
         # one pass: last symbol, runs, symbols of the upper half, sums
@@ -163,11 +175,14 @@ def annotate(docs: DataFrame, text: str) -> DataFrame:
                   (F.contains(t, F.lit("=")) | F.contains(t, F.lit(":"))) & t.rlike(ASSIGN), 2)
     df = _matches(df, text, "_access", ACCESS, F.contains(t, F.lit("AKIA")))
     df = _matches(df, text, "_hex", f"{HEX[:-1]}{{{LEAST['hex']},}}", t.rlike(f"{HEX[:-1]}{{{LEAST['hex']}}}"))
-    df = _matches(df, text, "_token", CANDIDATE, t.rlike(CANDIDATE))
+    for name, pattern in CANDIDATES.items():
+        df = _matches(df, text, f"_{name}", pattern, t.rlike(CANDIDATE))
     kinds = []
     for order, kind in enumerate(KINDS[:-1]):
         kinds.append(_spans(F.col(f"_{kind}"), order, kind))
     df = df.withColumn("_base", F.sort_array(F.concat(*kinds)))
+    # A run without separators is found by all three.
+    df = df.withColumn("_token", F.array_distinct(F.concat(*[f"_{name}" for name in CANDIDATES])))
     df = df.withColumn("_token", F.filter("_token", lambda m: ~F.exists(
         "_base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))))
     kind = lambda v: F.coalesce(*[F.when(v.rlike(p), F.lit(e)) for e, (_, p) in ENCODINGS.items()])
@@ -177,14 +192,13 @@ def annotate(docs: DataFrame, text: str) -> DataFrame:
         lambda m: m["encoding"].isNotNull()))
 
     def tested(m: Column) -> Column:
-        p = F.lit(None).cast("double")
-        for e, (alphabet, _) in ENCODINGS.items():
-            p = F.when(m["encoding"] == e, _least_p(m["value"], alphabet)).otherwise(p)
-        return F.struct(m["start"], m["end"], m["encoding"], m["length_class"], p.alias("p"),
-                        F.xxhash64(m["value"]).alias("token"))
+        alphabet = F.coalesce(*[F.when(m["encoding"] == e, F.lit(a)) for e, (a, _) in ENCODINGS.items()])
+        return F.struct(m["start"], m["end"], m["encoding"], m["length_class"],
+                        _least_p(m["value"], alphabet).alias("p"), F.xxhash64(m["value"]).alias("token"),
+                        m["value"].rlike(r"[+/_-]").alias("wide"))
 
     return settled(df.withColumn("_tokens", F.transform("_token", tested))
-                   .drop("_assign", "_access", "_hex", "_token"))
+                   .drop("_assign", "_access", "_hex", "_token", *[f"_{name}" for name in CANDIDATES]))
 
 
 def _spans(found: Column, order: int, kind: str) -> Column:
@@ -236,7 +250,11 @@ def with_spans(annotated: DataFrame, level: dict[tuple[str, int], float]) -> Dat
             for (encoding, length), p in sorted(level.items()):
                 out = out | ((m["encoding"] == encoding) & (m["length_class"] == length) & (m["p"] > p))
             return out
-        random = F.transform(F.filter("_tokens", accept), lambda m: F.struct(
+        # Accepted parts of an accepted run are no spans of their own.
+        annotated = annotated.withColumn("_accepted", F.filter("_tokens", accept))
+        annotated = annotated.withColumn("_wide", F.filter("_accepted", lambda m: m["wide"]))
+        random = F.transform(F.filter("_accepted", lambda m: m["wide"] | ~F.exists(
+            "_wide", lambda w: (w["start"] <= m["start"]) & (m["end"] <= w["end"]))), lambda m: F.struct(
             m["start"], F.lit(len(KINDS) - 1).alias("order"), m["end"], F.lit("random").alias("kind")))
     return annotated.withColumn("_spans", F.sort_array(F.concat("_base", random)))
 
