@@ -68,3 +68,28 @@ def test_equal_strings_share_an_anchor(seed):
         inside = (p >= at) & (p + 8 <= at + 60)
         places.append({(int(a) - at, int(b)) for a, b in zip(p[inside], k[inside], strict=True)})
     assert places[0] & places[1] & places[2]
+
+
+def test_one_long_text_of_near_equal_lines():
+    import tracemalloc
+
+    line = bytes(random.Random(5).randrange(97, 123) for _ in range(290))
+    numbered = b"".join(line + b"%09d\n" % (i * 7919) for i in range(1500))
+    for text, least in ((numbered, 1500 * 290), ((line + b"\n") * 400, 400 * 291)):
+        tracemalloc.start()
+        got = repeats.marked([(b"u", 0, text)], 200)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 350 * len(text)  # the suffixes of one class are 750 times the text
+        assert sum(b - a for a, b in repeats.merged([(a, b) for _, a, b in got])) >= least
+
+
+@pytest.mark.parametrize("size", [1, 256, 1 << 20])
+def test_suffixes_sorted_by_slices(monkeypatch, size):
+    monkeypatch.setattr(repeats, "SLICE_BYTES", size)
+    texts = [*some_texts(3), b"ab" * 300, b"ab" * 200, b"ab" * 300 + b"c"]
+    at = [(s, p) for s, t in enumerate(texts) for p in range(len(t))]
+    order, common = repeats._sorted_suffixes(at, texts)
+    assert order == sorted(at, key=lambda x: (texts[x[0]][x[1]:], x))
+    plain = [repeats._common(texts[a][p:], texts[b][q:]) for (a, p), (b, q) in zip(order, order[1:])]
+    assert common == [-1, *plain]

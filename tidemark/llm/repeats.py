@@ -50,6 +50,8 @@ LENGTH = 200
 GRAM = 32
 HOT = 4_000
 BATCH_BYTES = 2 << 20
+#: Bytes of suffixes that are compared at once.
+SLICE_BYTES = 1 << 20
 _PIECE = 1 << 22
 _PLACE = np.uint64((1 << 24) - 1)
 _C = np.uint64(0x9E3779B97F4A7C15)
@@ -125,18 +127,54 @@ def _common(a: bytes, b: bytes) -> int:
     return lo
 
 
-def maximal_repeats(segments: list[bytes], length: int) -> list[tuple[int, list[tuple[int, int]]]]:
-    """(size, occurrences as (segment, place)) of every repeat of at least
-    ``length`` bytes that no left neighbour extends in all its occurrences."""
+def _sorted_suffixes(at: list[tuple[int, int]], segments: list[bytes]) -> tuple[list[tuple[int, int]], list[int]]:
+    """The (segment, place) pairs in the order of their suffixes, and the
+    longest common prefix of each with the one before (-1 for the first).
+    Slices of about ``SLICE_BYTES`` together are held at a time; further bytes
+    are read only where slices are equal."""
+    order: list[tuple[int, int]] = []
+    common: list[int] = []
+    todo = [(at, 0, -1)]  # (equal so far, bytes compared, common prefix with the one before)
+    while todo:
+        members, depth, first = todo.pop()
+        step = max(64, SLICE_BYTES // len(members))
+        slices = sorted((segments[s][p + depth:p + depth + step], s, p) for s, p in members)
+        groups: list[tuple[bytes, int, list[tuple[int, int]]]] = []
+        for part, s, p in slices:
+            if not groups or groups[-1][0] != part:
+                groups.append((part, depth + _common(groups[-1][0], part) if groups else first, []))
+            groups[-1][2].append((s, p))
+        if len(groups) == 1 and len(groups[0][0]) == step and len(members) > 1:
+            todo.append((members, depth + step, first))
+            continue
+        below = []
+        for part, same, equal in groups:
+            if len(equal) > 1 and len(part) == step:
+                below.append((equal, depth + step, same))
+            else:  # one suffix, or several that end here
+                below.append((equal, -1, same))
+        # In order: those that are settled go out as soon as all before them are.
+        for equal, deep, same in reversed(below):
+            todo.append((equal, deep, same))
+        while todo and todo[-1][1] < 0:
+            equal, _, same = todo.pop()
+            order += equal
+            common += [same] + [len(segments[equal[0][0]]) - equal[0][1]] * (len(equal) - 1)
+    return order, common
+
+
+def _repeats(segments: list[bytes], length: int) -> Iterator[tuple[list[tuple[int, int]], list[tuple[int, int, int]]]]:
+    """Suffixes that share ``length`` bytes, as sorted (segment, place) pairs,
+    and their maximal repeats as (size, first, end): a row per interval."""
     joined = np.frombuffer(b"".join(segments), np.uint8)
     sizes = np.array([len(s) for s in segments], np.int64)
     starts = np.cumsum(sizes) - sizes
     if not len(joined):
-        return []
+        return
     end = np.repeat(starts + sizes, sizes)
     place = np.flatnonzero(np.arange(len(joined)) + length <= end)
     if not len(place):
-        return []
+        return
     # Suffixes that share ``length`` bytes stand together: one sort of the
     # hashes of those bytes.  The scan below compares the bytes themselves.
     name = gram_hashes(joined, length)[place]
@@ -147,51 +185,65 @@ def maximal_repeats(segments: list[bytes], length: int) -> list[tuple[int, list[
     # Left neighbours; none at the start of a segment.
     left = np.where(np.isin(order, starts), -1, joined[np.maximum(order - 1, 0)].astype(np.int64))
     low, high = np.minimum.reduceat(left, first), np.maximum.reduceat(left, first)
-    out = []
     for k in np.flatnonzero((ends - first > 1) & ((low != high) | (low < 0))):
-        at = order[first[k]:ends[k]].tolist()
-        where = [(int(s), p - int(starts[s])) for s, p in zip(np.searchsorted(starts, at, side="right") - 1, at, strict=True)]
-        suffixes = sorted((segments[s][p:], s, p) for s, p in where)
-        out += _intervals(suffixes, segments, length)
-    return out
+        at = order[first[k]:ends[k]]
+        s = np.searchsorted(starts, at, side="right") - 1
+        where, common = _sorted_suffixes(list(zip(s.tolist(), (at - starts[s]).tolist(), strict=True)), segments)
+        yield where, list(_intervals([segments[s][p - 1] if p else -1 for s, p in where], common, length))
 
 
-def _intervals(suffixes: list[tuple[bytes, int, int]], segments: list[bytes],
-               length: int) -> list[tuple[int, list[tuple[int, int]]]]:
-    """Stack scan of a sorted run of suffixes that share ``length`` bytes."""
-    before = lambda s, p: segments[s][p - 1] if p else -1
-    out, stack = [], []  # (common prefix, first suffix)
-    n = len(suffixes)
-    for i in range(1, n + 1):
-        same = _common(suffixes[i - 1][0], suffixes[i][0]) if i < n else -1
-        start = i - 1
+def maximal_repeats(segments: list[bytes], length: int) -> list[tuple[int, list[tuple[int, int]]]]:
+    """(size, occurrences as (segment, place)) of every repeat of at least
+    ``length`` bytes that no left neighbour extends in all its occurrences."""
+    return [(size, where[a:b]) for where, found in _repeats(segments, length) for size, a, b in found]
+
+
+def _intervals(lefts: list[int], common: list[int], length: int) -> Iterator[tuple[int, int, int]]:
+    """Stack scan of a sorted run of suffixes: size, first and end of each
+    interval with different left neighbours (-1, none, differs from all)."""
+    both = lambda a, b: a if a == b else -1
+    stack: list[tuple[int, int, int]] = []  # (common prefix, first suffix, left neighbour of all or -1)
+    for i in range(1, len(lefts) + 1):
+        same = common[i] if i < len(lefts) else -1
+        start, left = i - 1, lefts[i - 1]
         while stack and stack[-1][0] > same:
-            size, start = stack.pop()
-            members = suffixes[start:i]
-            lefts = {before(s, p) for _, s, p in members}
-            if len(members) > 1 and (len(lefts) > 1 or -1 in lefts):
-                out.append((size, [(s, p) for _, s, p in members]))
-        if same >= length and (not stack or stack[-1][0] < same):
-            stack.append((same, start))
-    return out
+            size, start, inner = stack.pop()
+            left = both(inner, left)
+            if left < 0:
+                yield size, start, i
+        if stack and stack[-1][0] == same:
+            stack[-1] = (same, stack[-1][1], both(stack[-1][2], left))
+        elif same >= length:
+            stack.append((same, start, left))
 
 
 def marked(contexts: list[tuple[bytes, int, bytes]], length: int) -> list[tuple[bytes, int, int]]:
     """(unit, start, end) of repeats among contexts ``(unit, start, bytes)``;
     contexts of a unit that meet become one segment."""
-    units, offsets, segments = [], [], []
+    units, offsets, parts = [], [], []
     for unit, start, data in sorted(contexts):
-        if units and units[-1] == unit and start <= offsets[-1] + len(segments[-1]):
-            segments[-1] += data[max(0, offsets[-1] + len(segments[-1]) - start):]
+        if units and units[-1] == unit and start <= offsets[-1] + len(parts[-1]):
+            parts[-1] += data[max(0, offsets[-1] + len(parts[-1]) - start):]
         else:
             units.append(unit)
             offsets.append(start)
-            segments.append(data)
-    marks = {}
-    for size, found in maximal_repeats(segments, length):
-        for s, p in found:
-            marks[s, p] = max(size, marks.get((s, p), 0))
-    return [(units[s], offsets[s] + p, offsets[s] + p + size) for (s, p), size in marks.items()]
+            parts.append(bytearray(data))
+    segments = [bytes(x) for x in parts]
+    marks = []
+    for where, found in _repeats(segments, length):
+        # Inner intervals come first and are longer: the first to reach a
+        # suffix marks it, and what is marked is stepped over.
+        after = list(range(len(where) + 1))
+        for size, a, b in found:
+            i = a
+            while i < b:
+                if after[i] == i:
+                    s, p = where[i]
+                    marks.append((units[s], offsets[s] + p, offsets[s] + p + size))
+                ahead = max(after[i], i + 1)
+                after[i] = max(ahead, b)
+                i = ahead
+    return marks
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
