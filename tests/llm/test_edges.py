@@ -326,6 +326,20 @@ def test_revealing_terms(spark):
     assert "Zorblax" not in clean[0] and "[EMAIL]" in clean[0] and clean[100] == rows[5][1]
 
 
+def test_revealing_terms_anywhere_in_the_document(spark):
+    far = "Zorblax\n" + "{}" + "\nzorb@example.org and on " + "{}" + " Quuxford end"
+    rows = [(i, far.format(prose(i, 20), prose(20 + i, 20))) for i in range(4)]
+    rows += [(10 + i, f"{prose(i, 9)} Vexley vex@example.org\n") for i in range(4)]
+    rows += [(20 + i, f"Vexley {prose(i, 30)}\n{prose(70 + i, 9)} vex@example.org") for i in range(4)]
+    rows += [(100 + i, prose(100 + i, 60)) for i in range(300)]
+    got = {r["doc_id"]: r["spans"].split(",") for r in dicts(private.find(spark.createDataFrame(rows, "doc_id long, text string")))}
+    for d, text in rows[:12]:
+        for name in ("Zorblax", "Quuxford") if d < 10 else ("Vexley",):
+            at = text.index(name)
+            assert f"term:{at}:{at + len(name)}" in got[d]
+    assert all(got[d] == [""] for d, _ in rows[12:])
+
+
 def test_repeats_edges(spark, edges, no_docs):
     got = by_id([tuple(r.values()) for r in dicts(repeats.find(edges))])
     assert got == by_id([(d, *x) for (d, _), x in zip(EDGES, brute.repeats([t for _, t in EDGES]), strict=True)])

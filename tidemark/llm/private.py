@@ -3,18 +3,20 @@
 Base kinds are leftmost non-overlapping matches of fixed patterns; those that
 fail a kind's test are dropped, without another try.
 
-The method: a matched value is a protected entity.  Terms around it, at most
-``NEAR`` words away on its line, may reveal it even when it is removed.  How
-strongly is estimated from the corpus: with probabilities as shares of
-documents, a term discloses the pointwise mutual information
+The method: a matched value is a protected entity.  Terms of its documents may
+reveal it even when it is removed.  How strongly is estimated from the corpus:
+with probabilities as shares of documents, a term discloses the pointwise
+mutual information
 ``log2(p(e, t) / (p(e) p(t)))`` of the ``-log2 p(e)`` bits the entity holds.
 A term that discloses at least ``DISCLOSURE`` of them, seen with the entity in
 ``SUPPORT`` different texts or more, is a span of kind ``term`` wherever it
-stands near the entity.  Sanitising generalises base spans to their kind and
+stands in a document of the entity, outside base spans.  Sanitising generalises base spans to their kind and
 numeric terms to ``[NUMBER]``, and removes other terms.
 
 Terms are counted over all documents (one row per term and task after
-combining); pairs of entity and term only where they stand together.
+combining).  Entities in fewer than ``SUPPORT`` texts and terms too frequent to
+disclose enough of an entity, however often they are together, go before pairs
+are made: a document gives a row for each pair of what is left in it.
 
 Defined results: a null text counts as empty; repeated rows give repeated
 results, and copies of a text count as one in ``SUPPORT``; an empty table gives
@@ -31,15 +33,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from tidemark.llm.common import fresh, only, ship, text_or_empty
 from tidemark.sources.scratch import materialise
 
 KINDS = ("email", "ip", "card", "phone", "term")
-NEAR = 6
 DISCLOSURE = 0.9
 SUPPORT = 3
+#: Most frequent terms that leave before the shuffle (the rest leave after it).
+COMMON = 50_000
 
 # The base patterns.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -93,91 +96,107 @@ def _entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind == 'email' else value if kind == 'ip' else ''.join(_DIGIT.findall(value))}"
 
 
-def terms_near(text: str, spans: list[tuple[str, int, int]], near: int = NEAR) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of the words around each span on its line,
-    outside all spans."""
-    out = []
-    taken = sorted((a, b) for _, a, b in spans)
-    for kind, a, b in spans:
-        entity = _entity(kind, text[a:b])
-        start, end = text.rfind("\n", 0, a) + 1, text.find("\n", b)
-        end = len(text) if end < 0 else end
-        # The nearest words lie within some hundred characters unless words
-        # are very long; look further only then.
-        reach = 40 * near
-        while True:
-            lo, hi = max(start, a - reach), min(end, b + reach)
-            left = [m for m in _TERM.finditer(text, lo, a) if m.start() > lo or lo == start]
-            right = [m for m in _TERM.finditer(text, b, hi) if m.end() < hi or hi == end]
-            if (lo == start or len(left) >= near) and (hi == end or len(right) >= near):
-                break
-            reach *= 4
-        for m in [*left[-near:], *right[:near]]:
-            if not any(x < m.end() and m.start() < y for x, y in taken):
-                out.append((entity, m[0].lower(), *m.span()))
-    return out
+def terms_outside(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """(term, start, end) of the words outside all spans."""
+    taken, i, until = sorted((a, b) for _, a, b in spans), 0, 0
+    for m in _TERM.finditer(text):
+        while i < len(taken) and taken[i][0] < m.end():
+            until = max(until, taken[i][1])
+            i += 1
+        if m.start() >= until:
+            yield m[0].lower(), *m.span()
 
 
 _SPAN = StructType().add("kind", "string").add("start", "long").add("end", "long")
-_NEAR_ROW = StructType().add("entity", "string").add("term", "string").add("start", "long").add("end", "long")
 
 
-def _scan(docs: DataFrame, near: int) -> DataFrame:
+def _scan(docs: DataFrame) -> DataFrame:
     """``docs``: id, text.  Written: id, row, copy (a hash of the text), base
-    spans and near terms."""
-    schema = StructType([docs.schema["id"], StructField("copy", LongType()),
-                         StructField("base", ArrayType(_SPAN)), StructField("near", ArrayType(_NEAR_ROW))])
+    spans, and for rows with any the entities and the text."""
+    schema = StructType([docs.schema["id"], StructField("copy", LongType()), StructField("base", ArrayType(_SPAN)),
+                         StructField("entities", ArrayType(StringType())), StructField("text", StringType())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            copies, base, around = [], [], []
+            copies, base, entities, texts = [], [], [], []
             for text in batch.column(1).to_pylist():
                 spans = base_spans(text)
                 base.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
-                around.append([{"entity": e, "term": t, "start": a, "end": b}
-                               for e, t, a, b in terms_near(text, spans, near)] if spans else [])
+                entities.append(sorted({_entity(k, text[a:b]) for k, a, b in spans}))
+                texts.append(text if spans else None)
                 copies.append(xxhash.xxh3_64_intdigest(text) - (1 << 63) if spans else 0)
             span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-            row = pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(copies, pa.int64()), pa.array(base, pa.list_(span)),
-                 pa.array(around, pa.list_(row))], names=schema.names)
+                 pa.array(entities, pa.list_(pa.string())), pa.array(texts, pa.string())], names=schema.names)
 
     ship(docs.sparkSession)
     return materialise(docs.select("id", "text").mapInArrow(scan, schema)
                        .withColumn("row", F.monotonically_increasing_id()), "private")
 
 
+def _triples(base: list[dict]) -> list[tuple[str, int, int]]:
+    return [(x["kind"], x["start"], x["end"]) for x in base]
+
+
 def _revealing(docs: DataFrame, scanned: DataFrame, disclosure: float, support: int) -> DataFrame:
-    """entity, term: pairs that disclose too much."""
-    seen = scanned.where(F.size("near") > 0).select("row", "copy", F.explode("near").alias("x")) \
-        .select("row", "copy", "x.entity", "x.term")
-    pairs = (seen.distinct().groupBy("entity", "term", "copy").agg(F.count("*").alias("n"))
-             .groupBy("entity", "term").agg(F.count("*").alias("texts"), F.sum("n").alias("together"))
-             .where(F.col("texts") >= support))
-    pairs = materialise(pairs, "pairs")
-    entities = seen.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    """row, terms: the terms of a row that disclose too much of its entities."""
+    held = scanned.where(F.size("entities") > 0).select("row", "copy", F.explode("entities").alias("entity"))
+    entities = materialise(
+        held.groupBy("entity", "copy").agg(F.count("*").alias("n")).groupBy("entity")
+        .agg(F.count("*").alias("texts"), F.sum("n").alias("n_entity")).where(F.col("texts") >= support)
+        .select("entity", "n_entity"), "entities")
+    live = materialise(held.join(entities, "entity").select("row", "entity", "n_entity"), "live")
+    n = max(scanned.count(), 1)
+    # A term is with an entity in at most n_term of its documents; a little
+    # more is let through here, the test below decides.
+    most = lambda x: F.pow(x.cast("double"), F.lit(disclosure)) * (float(n) ** (1 - disclosure) * 1.000001)
+    limit = entities.agg(F.max(most(F.col("n_entity")))).first()[0] or 0.0
     words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))
-    terms = (docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term")))
-    n = scanned.count()
-    total = F.log2(F.lit(float(max(n, 1))))
-    held = total - F.log2("n_entity")
+    terms = materialise(docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+                        .where(F.col("n_term") >= support), "terms")
+    common = terms.where(F.col("n_term") > limit).orderBy(F.desc("n_term")).limit(COMMON).select("term")
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, copy, base, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = sorted({t for t, _, _ in terms_outside(text, _triples(base))})
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row] * len(found), pa.int64()), pa.array([copy] * len(found), pa.int64()),
+                     pa.array(found, pa.string())], names=["row", "copy", "term"])
+
+    seen = (scanned.join(live.select("row").distinct(), "row", "left_semi").select("row", "copy", "base", "text")
+            .mapInArrow(emit, "row bigint, copy bigint, term string").join(F.broadcast(common), "term", "left_anti")
+            .join(terms.where(F.col("n_term") <= limit), "term"))
+    together = materialise(seen.join(live, "row").where(F.col("n_term") <= most(F.col("n_entity"))), "together")
+    total = F.log2(F.lit(float(n)))
+    bits = total - F.log2("n_entity")
     disclosed = total + F.log2("together") - F.log2("n_entity") - F.log2("n_term")
-    return (pairs.join(terms, "term").join(entities, "entity")
-            .where((held > 0) & (disclosed >= disclosure * held)).select("entity", "term"))
+    pairs = (together.groupBy("entity", "n_entity", "term", "n_term", "copy").agg(F.count("*").alias("n"))
+             .groupBy("entity", "n_entity", "term", "n_term").agg(F.count("*").alias("texts"), F.sum("n").alias("together"))
+             .where((F.col("texts") >= support) & (bits > 0) & (disclosed >= disclosure * bits)).select("entity", "term"))
+    return together.join(pairs, ["entity", "term"]).groupBy("row").agg(F.collect_set("term").alias("terms"))
 
 
-def _spans(docs: DataFrame, near: int, disclosure: float, support: int) -> DataFrame:
+def _spans(docs: DataFrame, disclosure: float, support: int) -> DataFrame:
     """id, row, base and terms (arrays of spans) of every row of ``docs``."""
-    scanned = _scan(docs, near)
-    pairs = materialise(_revealing(docs, scanned, disclosure, support), "revealing")
-    found = (scanned.where(F.size("near") > 0).select("row", F.explode("near").alias("x"))
-             .select("row", "x.*").join(pairs, ["entity", "term"])
-             .groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("terms")))
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    scanned = _scan(docs)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
+        for batch in batches:
+            out = []
+            for base, text, terms in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
+                terms = set(terms)
+                out.append([{"kind": "term", "start": a, "end": b}
+                            for t, a, b in terms_outside(text, _triples(base)) if t in terms])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(span))], names=["row", "terms"])
+
+    found = (scanned.select("row", "base", "text").join(_revealing(docs, scanned, disclosure, support), "row")
+             .mapInArrow(mark, StructType().add("row", "long").add("terms", ArrayType(_SPAN))))
+    none = F.array().cast(ArrayType(_SPAN))
     return scanned.select("id", "row", "base").join(found, "row", "left").select(
-        "id", "row", "base", F.transform(F.sort_array(F.coalesce("terms", none)), lambda s: F.struct(
-            F.lit("term").alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("terms"))
+        "id", "row", "base", F.coalesce("terms", none).alias("terms"))
 
 
 def _written(spans: Column) -> Column:
@@ -185,11 +204,11 @@ def _written(spans: Column) -> Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", near: int = NEAR,
+def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
          disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
     """A row per document: base counts, digest of the base spans, all spans."""
     df = only(docs, [doc_id, text]).toDF("id", "text").select("id", text_or_empty(F.col("text")).alias("text"))
-    found = _spans(df, near, disclosure, support)
+    found = _spans(df, disclosure, support)
     of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
     return found.select(
         F.col("id").alias("doc_id"), *[of(k) for k in KINDS[:-1]],
@@ -197,14 +216,14 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", near: int
         _written(F.concat("base", "terms")).alias("spans"))
 
 
-def sanitise(docs: DataFrame, text: str = "text", near: int = NEAR, disclosure: float = DISCLOSURE,
+def sanitise(docs: DataFrame, text: str = "text", disclosure: float = DISCLOSURE,
              support: int = SUPPORT) -> DataFrame:
     """``docs`` with spans of ``text`` generalised or removed.  Spans that
     overlap take the first's replacement."""
     row = fresh(docs, "row")
     whole = F.struct(*[F.col(f"`{c}`").alias(str(i)) for i, c in enumerate(docs.columns)])
     df = docs.select(whole.alias("id"), text_or_empty(F.col(f"`{text}`")).alias("text"))
-    found = _spans(df, near, disclosure, support).withColumnRenamed("row", row)
+    found = _spans(df, disclosure, support).withColumnRenamed("row", row)
     at = docs.columns.index(text)
     original = F.col("id")[str(at)].cast("string")
     state = lambda end, out: F.struct(end.alias("end"), out.alias("out"))
