@@ -79,4 +79,23 @@ classes as (select root, min(text_id) as class_id from roots join c using (n) gr
 links as (select x as n, count(*) as n_links from l group by x)
 select d.doc_id, class_id, text_id, coalesce(n_links, 0)::bigint as n_links
 from documents d join c on coalesce(d.text, '') = c.t join roots using (n) join classes using (root) left join links using (n)""",
+    "op12_hard_negatives": """
+with e as (
+  select vec_id, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label::bigint end as label,
+         list_transform(embedding, lambda c: floor(256 * c::double)) as x
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+r as (select row_number() over () as n, * from e),
+s as (select a.n as an, a.vec_id as anchor_id, c.n as cn, c.vec_id as cand_id, a.label = c.label as same,
+             list_inner_product(a.x, c.x)::bigint as score
+      from r a, r c where a.vec_id % 50 = 0 and a.n <> c.n),
+p as (select * from (select *, row_number() over (partition by an order by score desc, cand_id nulls last) as k from s where same) x
+      where k <= 5),
+w as (select p.an, p.anchor_id, p.cn, p.cand_id as positive_id, p.score as positive_score, s.cand_id as negative_id,
+             s.score as negative_score,
+             row_number() over (partition by p.an, p.cn order by s.score desc, s.cand_id nulls last) as rank
+      from p join s on s.an = p.an and not s.same
+        and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from w where rank <= 3""",
 }

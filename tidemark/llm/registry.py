@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard, oracle, packing, private, quality, repeats, secrets, sharding, urls, warc
+from tidemark.llm import (
+    decontaminate, jaccard, negatives, oracle, packing, private, quality, repeats, secrets, sharding, toxicity, urls, warc,
+    whitening)
 from tidemark.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +82,22 @@ def op10_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
     return jaccard.join(_documents(spark, d))
 
 
+def op11_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.score(_documents(spark, d), spark.read.parquet(f"{d}/labels.parquet"))
+
+
+def op12_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    label = F.col("label").cast("bigint")
+    out = negatives.mine(spark.read.parquet(f"{d}/embeddings.parquet"), F.col("id") % 50 == 0,
+                         F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return out.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def op13_embedding_whitening(spark: SparkSession, d: str) -> DataFrame:
+    out = whitening.whiten(spark.read.parquet(f"{d}/embeddings.parquet"))
+    return out.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc_packages": op2_warc_packages,
@@ -91,5 +109,8 @@ QUERIES: dict[str, Query] = {
     "op8_repeated_passages": op8_repeated_passages,
     "op9_url_filters": op9_url_filters,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_toxicity": op11_toxicity,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 ORACLES: dict[str, str] = dict(oracle.ORACLES)
