@@ -1,8 +1,10 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling.
 
-*Inputs.*  Each word is two sums of learned vectors: one of the word itself, one
-of its character grams with marks at both ends, so that unseen words with known
-parts are understood.  Both tables are hashed.
+*Inputs.*  Each word is two learned vectors side by side: one of the word itself,
+if ``LEAST_DOCUMENTS`` of the sample have it (else one that all other words
+share), and the mean over its character grams, with marks at both ends and
+hashed, so that unseen words with known parts are understood.  In training some
+words are hidden, so that their characters have to tell.
 
 *Network.*  Texts are read in windows of ``WINDOW`` words, one every ``STRIDE``;
 the last one ends with the text, so all words are read, in overlapping windows.
@@ -13,8 +15,8 @@ score is that of its highest window.
 *Training* (numpy, on the driver) sees a bounded sample: of each label the
 ``SAMPLE`` documents whose ids hash lowest, and of each of those at most
 ``SAMPLE_WINDOWS`` windows, evenly spaced.  First all windows learn their
-document's label; then, round after round, only the highest window of each
-document does, as scoring will use it.
+document's label; then, round after round, the highest window of each document
+does, as scoring will use it, and some windows of those labelled 0.
 
 *Scoring* reads every window of every text, in batches of windows.  The inputs
 of a word are computed once for each worker and kept in a bounded memory.
@@ -29,43 +31,52 @@ result; other columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from tidemark.llm.common import only, ship, text_or_empty
 
-WINDOW, STRIDE = 32, 16
-SAMPLE = 1500
-SAMPLE_WINDOWS = 48
-BUCKETS = 1 << 14
+WINDOW, STRIDE = 32, 24
+SAMPLE = 1000
+SAMPLE_WINDOWS = 32
+#: Words with a vector of their own: in so many documents of the sample, and so many.
+LEAST_DOCUMENTS, VOCABULARY = 8, 20_000
+BUCKETS = 1 << 15
 WIDTH = 12
 HIDDEN = 16
 GRAMS = (3, 4, 5)
-EPOCHS, ROUNDS = 3, 6
+EPOCHS, ROUNDS = 2, 4
 BATCH = 256
 RATE = 0.01
+#: Share of words hidden in training.
+HIDE = 0.3
 SEED = 3
 #: Words a worker remembers.
-MEMORY = 120_000
-_SCORED = 4096
+MEMORY = 200_000
+#: Windows that run together; texts whose words are looked up together.
+_SCORED, _TEXTS = 1024, 250
 _PUNCTUATION = ".,;:!?\"'()[]{}<>#*$%&|-_"
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
 # --- inputs --------------------------------------------------------------------------
 
-def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket of each word; buckets of all character grams, and where each
-    word's begin (a word has one at least)."""
-    plain = [w.lower().strip(_PUNCTUATION) for w in words]
-    word = np.fromiter((xxhash.xxh3_64_intdigest(w) % BUCKETS for w in plain), np.int64, len(plain))
-    marked = [f"\x02{w[:64]}\x03" for w in plain]
+def plain(word: str) -> str:
+    return word.lower().strip(_PUNCTUATION)
+
+
+def word_features(words: list[str], vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of each word, 0 outside the vocabulary; buckets of all character
+    grams, and where each word's begin (a word has one at least)."""
+    bare = list(map(plain, words))
+    word = np.fromiter((vocabulary.get(w, 0) for w in bare), np.int64, len(bare))
+    marked = [f"\x02{w}\x03" for w in bare]
     code = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(np.uint64)
     size = np.fromiter(map(len, marked), np.int64, len(marked))
     start = np.cumsum(size) - size
@@ -104,12 +115,13 @@ class Network:
     """Parameters, forward and backward passes.  Gates are ordered update,
     reset, candidate; index 0 of a direction axis is forwards."""
 
-    def __init__(self, seed: int = SEED) -> None:
+    def __init__(self, vocabulary: dict[str, int], seed: int = SEED) -> None:
+        self.vocabulary = vocabulary
         rng = np.random.default_rng(seed)
         f = lambda *shape, by: (rng.standard_normal(shape) * by).astype(np.float32)
         h = HIDDEN
         self.p = {
-            "word": f(BUCKETS, WIDTH, by=0.1), "gram": f(BUCKETS, WIDTH, by=0.1),
+            "word": f(len(vocabulary) + 1, WIDTH, by=0.1), "gram": f(BUCKETS, WIDTH, by=0.1),
             "input": f(2, 2 * WIDTH, 3 * h, by=(2 * WIDTH) ** -0.5), "bias": np.zeros((2, 3 * h), np.float32),
             "state": f(2, h, 3 * h, by=h ** -0.5),
             "attend": f(2 * h, h, by=(2 * h) ** -0.5), "attend_bias": np.zeros(h, np.float32), "query": f(h, by=h ** -0.5),
@@ -127,10 +139,10 @@ class Network:
     def gates(self, x: np.ndarray) -> np.ndarray:
         """Input parts of the gates of words, direction by direction, after a
         row for no word, which leaves the state as it is."""
-        out = np.einsum("nw,dwg->dng", x, self.p["input"]) + self.p["bias"][:, None]
-        none = np.zeros((2, 1, out.shape[2]), np.float32)
-        none[:, :, :HIDDEN] = -60
-        return np.ascontiguousarray(np.concatenate([none, out], axis=1), np.float32)
+        out = np.zeros((2, len(x) + 1, 3 * HIDDEN), np.float32)
+        out[:, 0, :HIDDEN] = -60
+        out[:, 1:] = x @ self.p["input"] + self.p["bias"][:, None]
+        return out
 
     def run(self, gates: np.ndarray, ids: np.ndarray, keep: bool = False) -> tuple[np.ndarray, dict]:
         """Logits of windows: ``ids`` (windows x words) are rows of ``gates``."""
@@ -160,14 +172,14 @@ class Network:
         held |= {"states": states, "a": a, "weight": weight, "pooled": pooled}
         return pooled @ self.p["out"] + self.p["out_bias"][0], held
 
-    def gradients(self, features: tuple, x: np.ndarray, ids: np.ndarray, target: np.ndarray, sure: np.ndarray) -> dict:
-        """Gradients of the mean weighted logistic loss.  ``features`` and
+    def gradients(self, features: tuple, x: np.ndarray, ids: np.ndarray, target: np.ndarray) -> dict:
+        """Gradients of the mean logistic loss.  ``features`` and
         ``x`` belong to the words that ``ids`` number from 1."""
         h, p = HIDDEN, self.p
         gates = self.gates(x)
         logit, held = self.run(gates, ids, keep=True)
         g = {k: np.zeros_like(v) for k, v in p.items() if k not in ("word", "gram")}
-        by = (sure * (_sigmoid(logit) - target) / len(ids)).astype(np.float32)
+        by = ((_sigmoid(logit) - target) / len(ids)).astype(np.float32)
         g["out"], g["out_bias"] = held["pooled"].T @ by, by.sum(keepdims=True)
         pooled = by[:, None] * p["out"]
         states, weight, a = held["states"], held["weight"], held["a"]
@@ -180,7 +192,7 @@ class Network:
         g["attend_bias"] = to_a.sum(axis=(0, 1))
         to_states += to_a @ p["attend"].T
         to_gates = np.zeros_like(gates)
-        columns = ids.T
+        to_inputs = np.zeros((len(ids[0]), len(ids), 3 * h), np.float32)
         for d in range(2):
             carried, u = np.zeros((len(ids), h), np.float32), p["state"][d]
             for at, state, sc, z, r, c in reversed(held["steps"][d]):
@@ -191,11 +203,12 @@ class Network:
                 to_s = np.hstack([to_z, to_r, to_c * r])
                 g["state"][d] += state.T @ to_s
                 carried = to * (1 - z) + to_s @ u.T
-                _add_rows(to_gates[d], columns[at], np.hstack([to_z, to_r, to_c]))
+                to_inputs[at, :, :2 * h], to_inputs[at, :, 2 * h:] = to_s[:, :2 * h], to_c
+            _add_rows(to_gates[d], ids.T.ravel(), to_inputs.reshape(-1, 3 * h))
         to_gates = to_gates[:, 1:]
         g["bias"] = to_gates.sum(axis=1)
-        g["input"] = np.einsum("nw,dng->dwg", x, to_gates)
-        to_x = np.einsum("dng,dwg->nw", to_gates, p["input"])
+        g["input"] = x.T @ to_gates
+        to_x = to_gates[0] @ p["input"][0].T + to_gates[1] @ p["input"][1].T
         word, grams, start = features
         count = np.diff(np.r_[start, len(grams)])
         for name, bucket, part in (("word", word, to_x[:, :WIDTH]),
@@ -225,10 +238,19 @@ def _add_rows(to: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
 
 # --- training ------------------------------------------------------------------------
 
+def vocabulary_of(sample: list[tuple[list[list[str]], int]], least: int = LEAST_DOCUMENTS, most: int = VOCABULARY) -> dict[str, int]:
+    """Numbers from 1 of the words with a vector of their own."""
+    count: Counter = Counter()
+    for windows, _ in sample:
+        count.update({plain(w) for words in windows for w in words})
+    found = sorted((-n, w) for w, n in count.items() if n >= least and w)
+    return {w: i + 1 for i, (_, w) in enumerate(found[:most])}
+
+
 def train(sample: list[tuple[list[list[str]], int]], seed: int = SEED, epochs: int = EPOCHS, rounds: int = ROUNDS) -> Network:
     """``sample``: the windows (lists of words) of each document, and its
     label."""
-    net = Network(seed)
+    net = Network(vocabulary_of(sample), seed)
     number: dict[str, int] = {}
     ids, owner, label = [], [], []
     for d, (windows, y) in enumerate(sample):
@@ -237,7 +259,8 @@ def train(sample: list[tuple[list[list[str]], int]], seed: int = SEED, epochs: i
             owner.append(d)
         label.append(y)
     ids_, owner_, label_ = np.array(ids, np.int64).reshape(-1, WINDOW), np.array(owner), np.array(label, np.float32)
-    features = word_features(list(number))
+    word, grams, start = features = word_features(list(number), net.vocabulary)
+    ends = np.r_[start, len(grams)]
     rng, memory, step = np.random.default_rng(seed + 1), {}, 0
 
     def fit(rows: np.ndarray, rate: float) -> None:
@@ -249,33 +272,32 @@ def train(sample: list[tuple[list[list[str]], int]], seed: int = SEED, epochs: i
             local = local.reshape(ids_[part].shape)
             if used[0]:  # no window is short: 0 stays the row for no word
                 used, local = np.r_[0, used], local + 1
-            word, grams, start = features
-            take, ends = used[1:] - 1, np.r_[start, len(grams)]
+            take = used[1:] - 1
             size = (ends[1:] - ends[:-1])[take]
             first = np.cumsum(size) - size
             of = (np.arange(size.sum()) - np.repeat(first, size)) + np.repeat(ends[take], size)
-            mine = (word[take], grams[of], first)
+            mine = (np.where(rng.random(len(take)) < HIDE, 0, word[take]), grams[of], first)
             step += 1
-            y = label_[owner_[part]]
-            net.learn(net.gradients(mine, net.embed(mine), local, y, np.ones_like(y)), memory, step, rate)
+            net.learn(net.gradients(mine, net.embed(mine), local, label_[owner_[part]]), memory, step, rate)
+
+    def some(rows: np.ndarray, most: int) -> np.ndarray:
+        """At most so many rows of each document, in random order."""
+        order = rng.permutation(rows)
+        order = order[np.argsort(owner_[order], kind="stable")]
+        first = np.flatnonzero(np.r_[True, owner_[order][1:] != owner_[order][:-1]])
+        return order[np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)])) < most]
 
     everything = np.arange(len(ids_))
-    # Each epoch sees some windows of each document, so that long ones don't rule.
     for _ in range(epochs):
-        order = rng.permutation(everything)
-        rank = np.zeros(len(order), np.int64)
-        by = np.argsort(owner_[order], kind="stable")
-        sorted_ = owner_[order][by]
-        first = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]])
-        rank[by] = np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)]))
-        fit(order[rank < 8], RATE)
+        fit(some(everything, 6), RATE)
     for i in range(rounds):
         gates = net.gates(net.embed(features))
         logit = np.concatenate([net.run(gates, ids_[at:at + _SCORED])[0] for at in range(0, len(ids_), _SCORED)])
         by = np.lexsort((-logit, owner_))
         best = by[np.r_[True, owner_[by][1:] != owner_[by][:-1]]]
+        clean = some(everything[label_[owner_] == 0], 2)
         for _ in range(2):
-            fit(best, RATE / (1 + i))
+            fit(np.r_[best, clean], RATE / (1 + i))
     return net
 
 
@@ -301,7 +323,8 @@ def _sample(docs: DataFrame, labels: DataFrame, learned: Column, per_label: int,
                 [batch.column(0), batch.column(2), pa.array(out, pa.list_(pa.string()))], names=["id", "label", "windows"])
 
     cut_ = found.select("id", "text", "label").mapInArrow(
-        cut, StructType([docs.schema["id"], StructField("label", IntegerType())]).add("windows", "array<string>"))
+        cut, StructType([docs.schema["id"], StructField("label", IntegerType()),
+                         StructField("windows", ArrayType(StringType()))]))
     # Repeated rows of an id: one, whichever (they may differ in text).
     return cut_.groupBy("id").agg(F.max("label").alias("label"), F.max("windows").alias("windows")).where(F.size("windows") > 0)
 
@@ -318,7 +341,8 @@ class _Memory:
         self.gates[:, :1] = none
 
     def rows(self, words: list[str]) -> np.ndarray:
-        """Rows of ``self.gates``, one for each word."""
+        """Rows of ``self.gates``, one for each word.  At most ``MEMORY``
+        different words at once."""
         found = list(map(self.row.get, words))
         if None in found:
             new = list({w for w, r in zip(words, found, strict=True) if r is None})
@@ -328,46 +352,49 @@ class _Memory:
             for at in range(0, len(new), 20_000):
                 part = new[at:at + 20_000]
                 first = len(self.row) + 1
-                self.gates[:, first:first + len(part)] = self.net.gates(self.net.embed(word_features(part)))[:, 1:]
+                x = self.net.embed(word_features(part, self.net.vocabulary))
+                self.gates[:, first:first + len(part)] = self.net.gates(x)[:, 1:]
                 self.row.update(zip(part, range(first, first + len(part)), strict=True))
             found = list(map(self.row.__getitem__, words))
         return np.array(found, np.int64)
 
 
-def score_texts(net: Network, memory: _Memory, texts: list[str]) -> np.ndarray:
-    """The highest window's probability of each text; 0 for texts without a
-    word.  Long texts go through in parts, each a whole number of windows."""
-    out = np.full(len(texts), -np.inf)
-    held: list[np.ndarray] = []
+def _together(texts: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+    """Words of some texts in a row, the windows' first words there, and the
+    text of each window.  A text of very many words comes in parts, each a
+    whole number of windows."""
+    words: list[str] = []
+    starts: list[np.ndarray] = []
     owner: list[np.ndarray] = []
+    for i, text in enumerate(texts):
+        own = text.lower().split()
+        at = windows_of(len(own))
+        for k in range(0, len(at), 2 * _SCORED):
+            part = at[k:k + 2 * _SCORED]
+            first, last = int(part[0]), min(int(part[-1]) + WINDOW, len(own))
+            if words and len(words) + last - first > MEMORY // 2:
+                yield words, np.concatenate(starts), np.concatenate(owner)
+                words, starts, owner = [], [], []
+            starts.append(part - first + len(words))
+            owner.append(np.full(len(part), i))
+            words.extend(own[first:last])
+            # Short texts are filled up: an empty word has no row.
+            words.extend([""] * (WINDOW - (last - first)))
+    if words:
+        yield words, np.concatenate(starts), np.concatenate(owner)
 
-    def flush() -> None:
-        if held:
-            logit = net.run(memory.gates, np.concatenate(held))[0]
-            np.maximum.at(out, np.concatenate(owner), logit)
-            held.clear()
-            owner.clear()
 
-    waiting = 0
-    for i, text in enumerate(texts):
-        words = text.split()
-        starts = windows_of(len(words))
+def score_texts(net: Network, memory: _Memory, texts: list[str]) -> np.ndarray:
+    """The highest window's probability of each text; 0 for texts without a
+    word."""
+    out = np.full(len(texts), -np.inf)
+    for words, starts, owner in _together(texts):
+        rows = memory.rows(words)
+        rows[np.fromiter(map(len, words), np.int64, len(words)) == 0] = 0
         for at in range(0, len(starts), _SCORED):
             part = starts[at:at + _SCORED]
-            first, last = int(part[0]), min(int(part[-1]) + WINDOW, len(words))
-            if len(memory.row) + last - first > MEMORY:
-                flush()  # rows may be given anew
-                waiting = 0
-            rows = memory.rows(words[first:last])
-            if len(rows) < WINDOW:
-                rows = np.r_[rows, np.zeros(WINDOW - len(rows), np.int64)]
-            held.append(rows[(part - first)[:, None] + np.arange(WINDOW)])
-            owner.append(np.full(len(part), i))
-            waiting += len(part)
-            if waiting >= _SCORED:
-                flush()
-                waiting = 0
-    flush()
+            logit = net.run(memory.gates, rows[part[:, None] + np.arange(WINDOW)])[0]
+            np.maximum.at(out, owner[at:at + _SCORED], logit)
     return np.where(np.isfinite(out), 1 / (1 + np.exp(-np.clip(out, -700, 700))), 0.0)
 
 
@@ -384,19 +411,16 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     seen = {y for _, y in rows}
     schema = StructType([StructField("doc_id", df.schema["id"].dataType), StructField("held_out", BooleanType()),
                          StructField("score", DoubleType()), StructField("predicted", IntegerType())])
-    weights = train([([w.split() for w in windows], y) for windows, y in rows]).p if len(seen) > 1 else None
+    net = train([([w.split() for w in windows], y) for windows, y in rows]) if len(seen) > 1 else None
     share = sum(y for _, y in rows) / max(len(rows), 1)
-    shared = spark.sparkContext.broadcast(weights)  # two tables of BUCKETS x WIDTH, and less
+    shared = spark.sparkContext.broadcast(net)  # VOCABULARY + BUCKETS rows of WIDTH, and less
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = memory = None
-        if shared.value is not None:
-            net = Network.__new__(Network)
-            net.p = shared.value
-            memory = _Memory(net)
+        net = shared.value
+        memory = _Memory(net) if net else None
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
+            for at in range(0, whole.num_rows, _TEXTS):
+                batch = whole.slice(at, _TEXTS)
                 texts = batch.column(2).to_pylist()
                 if net is None:
                     s = np.array([share if t.split() else 0.0 for t in texts], np.float64)
