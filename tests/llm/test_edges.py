@@ -417,11 +417,6 @@ def test_blocks_without_a_row(spark, monkeypatch):
     assert got == sorted(brute.jaccard(docs)) and {r[3] for r in got} == {19}
 
 
-def test_forest_depth():
-    assert jaccard.depth_for(0.8) < jaccard.DEPTH
-    assert 1 - (1 - 0.8 ** jaccard.depth_for(0.8)) ** jaccard.TREES >= jaccard.RECALL
-
-
 def test_components(spark):
     rng = random.Random(8)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(i, i + 1) for i in range(1000, 1040)] + [(5, 5)]

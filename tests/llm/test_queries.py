@@ -10,7 +10,7 @@ from tests.conftest import SF_SMALL
 from tests.llm import brute
 from tidemark.llm import registry
 
-TABLES = ("documents", "pages", "benchmark")
+TABLES = ("documents", "pages", "benchmark", "embeddings")
 
 
 def test_quality(results, small):
@@ -129,4 +129,4 @@ def test_oracle(results, name):
 
 
 def test_every_number_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 14))
