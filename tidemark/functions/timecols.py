@@ -26,3 +26,18 @@ def epoch_seconds(df: DataFrame, col: str) -> Column:
     if isinstance(dtype, T.StringType):
         c = c.try_cast("timestamp")
     return F.unix_seconds(c)
+
+
+def order_number(df: DataFrame, col: str) -> Column | None:
+    """An integer that orders and tells apart like the column: microseconds of
+    times, days of dates, integers themselves; None for other types."""
+    dtype, c = df.schema[col].dataType, F.col(col)
+    if isinstance(dtype, T.TimestampNTZType):
+        micros = (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
+        minutes = F.unix_date(c.cast("date")).cast("bigint") * 1440 + F.hour(c) * 60 + F.minute(c)
+        return minutes * 60_000_000 + micros
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("bigint")
+    return c.cast("bigint") if isinstance(dtype, T.IntegralType) else None

@@ -10,12 +10,14 @@ Physical shape, chosen for a skewed 100 TB input:
 
 1. trades -> per-second sums and counts (partial aggregation before the
    shuffle, so a hot instrument ships at most one row per second per map
-   task) -> trailing RANGE window per key-day (<= 86,400 rows each), joined
-   back to the trades by key and second.
-2. trades and quotes as one timeline, filled by
-   :func:`tidemark.operators.series.forward_fill`: computed once, cut into
-   ranges of about equal row counts whatever the keys and bursts are.
-3. the previous close by a plain join; AQE picks its kind from the sizes.
+   task) -> trailing averages put together from blocks.  An average stands in
+   the timeline as a row of its own, just before the first trade of its second:
+   nothing is joined back to the trades.
+2. trades, averages and quotes as one timeline, filled by
+   :func:`tidemark.operators.series.fill_ranges`: one exchange by key and
+   range; keys with too many rows are cut into ranges.
+3. the previous close, with a copy for every range of a cut key, joined by key
+   and range: the quotes already lie that way, so they are not moved again.
 """
 
 from __future__ import annotations
@@ -26,9 +28,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import schema
-from tidemark.operators import latest
+from tidemark.operators import latest, skew
 from tidemark.operators.series import (
-    DEFAULT_KEYS, MOVING_AVERAGE_SECONDS, forward_fill, moving_average, timeline)
+    DEFAULT_KEYS, MOVING_AVERAGE_SECONDS, fill_ranges, per_second_stats, rolling_average, timeline)
+from tidemark.operators.skew import PART
 
 
 def previous_close(trades: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
@@ -83,10 +86,20 @@ def price_moves(df: DataFrame) -> DataFrame:
 
 
 def join_close(quotes: DataFrame, close: DataFrame,
-               keys: Sequence[str] = ("symbol", "exchange")) -> DataFrame:
+               keys: Sequence[str] = ("symbol", "exchange"), parts: int | None = None,
+               outline: DataFrame | None = None) -> DataFrame:
     """Left join of the close onto quotes (one close row per key), plus moves.
-    Plain equality: a NULL key has no close."""
-    return price_moves(quotes.join(close, list(keys), "left"))
+    Plain equality: a NULL key has no close.  The quotes of a heavy key are
+    dealt over several tasks, its close is copied to each."""
+    return price_moves(skew.skewed_left_join(quotes, close, list(keys), parts, outline))
+
+
+def average_rows(trades: DataFrame, keys: Sequence[str], time: str, seq: str, seconds: int) -> DataFrame:
+    """A row for each key and second with trades: keys, time and sequence of
+    its first trade, ``mov_avg_pr``."""
+    averages = rolling_average(per_second_stats(trades, keys, time, "trade_pr", seq), keys, seconds)
+    return averages.select(*keys, F.col("_tm_first.t").alias(time), F.col("_tm_first.s").alias(seq),
+                           F.col("_tm_avg").alias("mov_avg_pr"))
 
 
 def enrich_quotes(trades: DataFrame, quotes: DataFrame,
@@ -94,23 +107,37 @@ def enrich_quotes(trades: DataFrame, quotes: DataFrame,
                   keys: Sequence[str] = DEFAULT_KEYS,
                   time: str = "event_tm", seq: str = "event_seq_nb",
                   window_seconds: int = MOVING_AVERAGE_SECONDS,
-                  parts: int | None = None) -> DataFrame:
+                  parts: int | None = None, outline: DataFrame | None = None) -> DataFrame:
     """The quote-trade analytical table: one row per quote.
 
     ``trades``: keys, time, seq, ``trade_pr``; ``quotes``: keys, time, seq,
     bid/ask price and size (plus ``trade_dt`` when it is not a key);
     ``close``: keys, ``close_pr`` with one row per key (see
-    :func:`previous_close`), or None for no close.
+    :func:`previous_close`), or None for no close; ``outline``: rows with keys,
+    time and seq to place cuts by (default: the trades and quotes).
 
     Output columns: :data:`tidemark.schema.ANALYTIC_COLUMNS`.
     """
     if "trade_dt" not in trades.columns:
         trades = trades.withColumn("trade_dt", F.lit(None).cast("date"))
-    averaged = moving_average(trades, keys, time, seconds=window_seconds)
-    filled = forward_fill(timeline(averaged, quotes, time=time, seq=seq),
-                          {"last_trade_pr": "trade_pr", "last_mov_avg_pr": "mov_avg_pr"},
-                          keys, (time, seq, "rec_sort"), parts)
+    keys, none = list(keys), F.lit(None)
+    averages = average_rows(trades, keys, time, seq, window_seconds).withColumn("trade_pr", none.cast("double"))
+    if "trade_dt" not in keys:
+        averages = averages.withColumn("trade_dt", none.cast("date"))
+    # An average is seen from the first trade of its second on, as if each
+    # trade of the second had it; a NULL one (no price yet) hides none.
+    rows = timeline(trades.withColumn("mov_avg_pr", none.cast("double")), quotes, time=time, seq=seq).unionByName(
+        timeline(averages, quotes.where("false"), time=time, seq=seq).withColumn("rec_sort", F.lit(-1)))
+    if outline is None:
+        outline = trades.select(*keys, time, seq).unionByName(quotes.select(*keys, time, seq))
+    ranges = skew.cut_ranges(outline, keys, [time, seq], parts)
+    ranges.order.append("rec_sort")
+    filled = fill_ranges(rows, {"last_trade_pr": "trade_pr", "last_mov_avg_pr": "mov_avg_pr"}, ranges)
     out = filled.where(F.col("rec_type") == schema.QUOTE)
-    out = join_close(out, close.select(*keys, "close_pr"), keys) if close is not None else price_moves(
-        out.withColumn("close_pr", F.lit(None).cast("double")))
-    return out.select(*schema.ANALYTIC_COLUMNS)
+    if close is None:
+        out = out.withColumn("close_pr", F.lit(None).cast("double"))
+    else:
+        # Plain equality of keys: a NULL one has no close.
+        known = close.select(*keys, "close_pr").dropna(subset=keys)
+        out = out.join(ranges.copies(known).select(PART, "close_pr"), PART, "left")
+    return price_moves(out).select(*schema.ANALYTIC_COLUMNS)

@@ -218,6 +218,34 @@ where rn = 1""",
 select trade_dt, count(*) as n_rows, 'trade' as table_name from trades group by trade_dt
 union all
 select trade_dt, count(*) as n_rows, 'quote' as table_name from quotes group by trade_dt""",
+    "eod_incremental": f"""with {EOD}
+select trade_dt, symbol, exchange, event_tm, event_seq_nb, arrival_tm, trade_pr, 'T' as rec_type,
+       cast(null as double) as bid_pr, cast(null as bigint) as bid_size, cast(null as double) as ask_pr,
+       cast(null as bigint) as ask_size from trades
+union all
+select trade_dt, symbol, exchange, event_tm, event_seq_nb, arrival_tm, null, 'Q', bid_pr, bid_size, ask_pr, ask_size
+from quotes""",
+    "eod_footer_counts": f"""with {EOD}
+select trade_dt, count(*) as n_rows, min(event_seq_nb) as min_event_seq_nb, max(event_seq_nb) as max_event_seq_nb,
+       'trade' as table_name from trades group by trade_dt
+union all
+select trade_dt, count(*), min(event_seq_nb), max(event_seq_nb), 'quote' from quotes group by trade_dt""",
+    "clustered_lookup": f"""with {EOD}
+select * from trades where symbol = '{R.LOOKUP_SYMBOL}' and exchange = '{R.LOOKUP_EXCHANGE}'""",
+    "quote_row_reconciliation": f"""with {EOD},
+q as (select trade_dt, symbol, exchange, event_tm, event_seq_nb, bid_pr, bid_size, ask_pr, ask_size,
+             row_number() over (partition by trade_dt order by event_tm, event_seq_nb, symbol, exchange) as up,
+             row_number() over (partition by trade_dt order by event_tm desc, event_seq_nb desc, symbol desc, exchange desc) as down
+      from quotes),
+damaged as (select q.* exclude (up, down) from q, range(2) as t(k) where (k = 0 and up > 1) or (k = 1 and down = 1)),
+lost as (select trade_dt, count(*) as n from (
+           select * exclude (up, down) from q except all select * from damaged) x group by trade_dt),
+n_in as (select trade_dt, count(*) as n from quotes group by trade_dt),
+n_out as (select trade_dt, count(*) as n from damaged group by trade_dt)
+select 'enriched' as table_name, trade_dt, n as n_in, n as n_out, true as same_count, true as same_rows from n_in
+union all
+select 'damaged', i.trade_dt, i.n, o.n, i.n = o.n, i.n = o.n and l.n is null
+from n_in i join n_out o using (trade_dt) left join lost l using (trade_dt)""",
     "correction_counts": f"""with {EOD},
 before as (select partition as rec_type, count(*) as n_before from feed
            where partition <> 'B' group by partition),

@@ -26,13 +26,14 @@ KEYS = ("trade_dt", "symbol", "exchange")
 def analytics_all_dates(trades: DataFrame, quotes: DataFrame,
                         keys: Sequence[str] = KEYS, close_mode: str = "calendar",
                         window_seconds: int = MOVING_AVERAGE_SECONDS,
-                        parts: int | None = None) -> DataFrame:
-    """Analytical rows for every quote of every date."""
+                        parts: int | None = None, outline: DataFrame | None = None) -> DataFrame:
+    """Analytical rows for every quote of every date.  ``outline``: see
+    :func:`tidemark.operators.analytics.enrich_quotes`."""
     close = analytics.previous_close(
         trades, keys, mode=close_mode,
         next_dates=quotes.select("trade_dt") if close_mode == "available" else None)
     return analytics.enrich_quotes(trades, quotes, close, keys,
-                                   window_seconds=window_seconds, parts=parts)
+                                   window_seconds=window_seconds, parts=parts, outline=outline)
 
 
 def analytics_for_date(spark: SparkSession, eod_base: str, day=None,

@@ -28,6 +28,8 @@ RUN_OLD, RUN_NEW = "20240101_000000_000001", "20240102_000000_000002"
 # Job looked up by the job-status lookup check.
 LOOKUP_JOB = "error_2024-01-15"
 TOP_N = 20
+# Instrument looked up by the clustered-table check.
+LOOKUP_SYMBOL, LOOKUP_EXCHANGE = "S1", "NYSE"
 
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
@@ -191,6 +193,33 @@ def eod_counts_by_date(spark, d):
             .unionByName(q.withColumn("table_name", F.lit("quote"))))
 
 
+def eod_incremental(spark, d):
+    """Runs brought in one by one: late corrections before what they correct,
+    and once more after it."""
+    runs, base = scratch.scratch_path(spark, "delta-runs"), scratch.scratch_path(spark, "merged-eod")
+    late = F.col("arrival_tm") > F.col("event_tm")
+    sinks.write_run(_feed(spark, d, corrections=False), runs, RUN_OLD)
+    sinks.write_run(_feed(spark, d).where(late), runs, RUN_NEW)
+    for run_id in (RUN_NEW, RUN_OLD, RUN_NEW):
+        eod.merge_run(spark, runs, base, run_id)
+    trades, quotes = (tables.read_table(spark, f"{base}/{n}") for n in ("trade", "quote"))
+    return trades.withColumn("rec_type", F.lit(schema.TRADE)).unionByName(
+        quotes.withColumn("rec_type", F.lit(schema.QUOTE)), allowMissingColumns=True)
+
+
+def eod_footer_counts(spark, d):
+    base = _write_eod(spark, d)
+    t, q = (tables.footer_counts(spark, f"{base}/{n}", ["trade_dt"], ["event_seq_nb"]) for n in ("trade", "quote"))
+    return t.withColumn("table_name", F.lit("trade")).unionByName(q.withColumn("table_name", F.lit("quote")))
+
+
+def clustered_lookup(spark, d):
+    """One instrument's trades out of a clustered table."""
+    base = scratch.scratch_path(spark, "clustered")
+    sinks.write_clustered(_trades(spark, d), base, ["trade_dt"], ["symbol", "exchange", "event_tm"], {"event_seq_nb": 10_000})
+    return tables.lookup_rows(spark, base, {"symbol": LOOKUP_SYMBOL, "exchange": LOOKUP_EXCHANGE})
+
+
 def correction_counts(spark, d):
     feed = _feed(spark, d)
     trades, quotes = _trades(spark, d, feed), _quotes(spark, d, feed)
@@ -204,7 +233,9 @@ def correction_counts(spark, d):
 # --- time series and analytics ----------------------------------------------
 
 def trade_moving_average(spark, d):
-    return _round(series.moving_average(_trades(spark, d)), "mov_avg_pr")
+    feed = _feed(spark, d)
+    return _round(series.moving_average(_trades(spark, d, feed), outline=feed.where(F.col("partition") == schema.TRADE)),
+                  "mov_avg_pr")
 
 
 def previous_close(spark, d):
@@ -218,29 +249,36 @@ def previous_close_available(spark, d):
 
 def close_join(spark, d):
     # J1 as a standalone join: quotes of every date with the previous close.
-    tr, qu = _eod_pair(spark, d)
-    return analytics.join_close(qu, analytics.previous_close(tr),
-                                ["trade_dt", "symbol", "exchange"])
+    feed = _feed(spark, d)
+    tr, qu = _trades(spark, d, feed), _quotes(spark, d, feed)
+    return analytics.join_close(qu, analytics.previous_close(tr), ["trade_dt", "symbol", "exchange"],
+                                outline=feed.where(F.col("partition") == schema.QUOTE))
 
 
 def _timeline(spark, d):
-    tr, qu = _eod_pair(spark, d)
-    return series.timeline(series.moving_average(tr), qu)
+    """The timeline, and the uncorrected rows it comes from as its outline."""
+    feed = _feed(spark, d)
+    tr, qu = _trades(spark, d, feed), _quotes(spark, d, feed)
+    averaged = series.moving_average(tr, outline=feed.where(F.col("partition") == schema.TRADE))
+    return series.timeline(averaged, qu), feed.where(F.col("partition") != schema.BAD)
 
 
 def event_timeline(spark, d):
-    return _round(_timeline(spark, d), "mov_avg_pr")
+    return _round(_timeline(spark, d)[0], "mov_avg_pr")
 
 
 def forward_fill_quotes(spark, d):
+    rows, outline = _timeline(spark, d)
     filled = series.forward_fill(
-        _timeline(spark, d), {"last_trade_pr": "trade_pr", "last_mov_avg_pr": "mov_avg_pr"})
+        rows, {"last_trade_pr": "trade_pr", "last_mov_avg_pr": "mov_avg_pr"}, outline=outline)
     return _round(filled.where(F.col("rec_type") == schema.QUOTE),
                   "mov_avg_pr", "last_mov_avg_pr")
 
 
 def _analytics(spark, d):
-    return quote_analytics.analytics_all_dates(*_eod_pair(spark, d))
+    feed = _feed(spark, d)
+    return quote_analytics.analytics_all_dates(_trades(spark, d, feed), _quotes(spark, d, feed),
+                                               outline=feed.where(F.col("partition") != schema.BAD))
 
 
 def quote_trade_analytics(spark, d):
@@ -269,6 +307,22 @@ def string_time_analytics(spark, d):
                   "mov_avg_pr", "last_mov_avg_pr")
 
 
+def quote_row_reconciliation(spark, d):
+    """Rows, not only counts: the analytics against their quotes, and quotes of
+    which each date has lost its first row and doubled its last."""
+    feed = _feed(spark, d)
+    quotes = _quotes(spark, d, feed).drop("arrival_tm")
+    enriched = quote_analytics.analytics_all_dates(
+        _trades(spark, d, feed), quotes, outline=feed.where(F.col("partition") != schema.BAD)).select(*quotes.columns)
+    row = F.struct("event_tm", "event_seq_nb", "symbol", "exchange")
+    ends = quotes.groupBy("trade_dt").agg(F.min(row).alias("least"), F.max(row).alias("most"))
+    times = F.when(row == F.col("least"), 0).otherwise(1) + F.when(row == F.col("most"), 1).otherwise(0)
+    damaged = (quotes.join(ends, "trade_dt").withColumn("again", F.explode(F.array_repeat(F.lit(1), times)))
+               .select(*quotes.columns))
+    return quality.reconcile_rows(quotes, enriched, ["trade_dt"]).withColumn("table_name", F.lit("enriched")).unionByName(
+        quality.reconcile_rows(quotes, damaged, ["trade_dt"]).withColumn("table_name", F.lit("damaged")))
+
+
 def quote_reconciliation(spark, d):
     tr, qu = _eod_pair(spark, d)
     return quality.reconcile(qu, quote_analytics.analytics_all_dates(tr, qu))
@@ -331,6 +385,9 @@ QUERIES: dict[str, Query] = {
     "eod_quotes_latest": eod_quotes_latest,
     "latest_with_tiebreaker": latest_with_tiebreaker,
     "eod_counts_by_date": eod_counts_by_date,
+    "eod_incremental": eod_incremental,
+    "eod_footer_counts": eod_footer_counts,
+    "clustered_lookup": clustered_lookup,
     "correction_counts": correction_counts,
     "trade_moving_average": trade_moving_average,
     "previous_close": previous_close,
@@ -341,6 +398,7 @@ QUERIES: dict[str, Query] = {
     "quote_trade_analytics": quote_trade_analytics,
     "latest_date_analytics": latest_date_analytics,
     "quote_reconciliation": quote_reconciliation,
+    "quote_row_reconciliation": quote_row_reconciliation,
     "null_fill_count": null_fill_count,
     "top_quotes": top_quotes,
     "job_status_upsert": job_status_upsert,

@@ -8,6 +8,7 @@ prunes directories (``PartitionFilters`` in the plan).
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql.types import StringType
 RUN_COL = "run_id"
 PARTITION_COL = "partition"
 DATE_COL = "trade_dt"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_table(spark: SparkSession, base: str) -> DataFrame:
@@ -31,11 +33,11 @@ def read_partition(spark: SparkSession, base: str, **equals) -> DataFrame:
     return df
 
 
-def partition_values(spark: SparkSession, base: str, column: str) -> list[str]:
+def partition_values(spark: SparkSession, base: str, column: str, nulls: bool = False) -> list[str]:
     """Values of the ``column=value`` folders of ``base``, sorted.
 
     A folder listing: no file of the table is opened.  A missing folder has
-    no values; the null partition is not one.
+    no values; the null partition is one only with ``nulls``.
     """
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(base)
@@ -44,7 +46,7 @@ def partition_values(spark: SparkSession, base: str, column: str) -> list[str]:
         return []
     names = [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
     found = {n.partition("=")[2] for n in names if n.startswith(f"{column}=")}
-    return sorted(found - {"__HIVE_DEFAULT_PARTITION__"})
+    return sorted(found if nulls else found - {NULL_PARTITION})
 
 
 def latest_run_id(spark: SparkSession, base: str, run_col: str = RUN_COL) -> str:
@@ -103,6 +105,44 @@ def with_time(df: DataFrame, time_col: str = "event_tm") -> DataFrame:
     return df.withColumn(time_col, F.col(time_col).try_cast("timestamp"))
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session on the same cluster whose Parquet scans answer counts, least
+    and greatest values from file footers.  Its settings are its own; frames
+    read through it keep them."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own
+
+
+def footer_counts(spark: SparkSession, base: str, by: Sequence[str] = (), extremes: Sequence[str] = (),
+                  name: str = "n_rows") -> DataFrame:
+    """Rows of a Parquet table, per value of its partition columns ``by``, and
+    ``min_<c>`` / ``max_<c>`` of ``extremes``, from file footers alone: no
+    column of any row is read.
+
+    Footers hold extremes of integers, floats, dates and booleans; for other
+    types (times, texts, or where a writer left them out) use a plain aggregate.
+    A table without files has no schema and is an error, as in any scan.
+    """
+    table = footer_session(spark).read.parquet(base)
+    wanted = [F.count(F.lit(1)).alias(name)]
+    for c in extremes:
+        wanted += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
+    return table.groupBy(*by).agg(*wanted)
+
+
+def lookup_rows(spark: SparkSession, base: str, equals: dict) -> DataFrame:
+    """Rows whose columns equal the given values.  Partition columns choose
+    folders; in tables of :func:`tidemark.sources.sinks.write_clustered` the
+    others choose row groups, by their least and greatest values and their
+    Bloom filters."""
+    df = spark.read.parquet(base)
+    for column, value in equals.items():
+        df = df.where(F.col(column) == F.lit(value))
+    return df
+
+
 def read_eod_date(spark: SparkSession, eod_base: str, day) -> tuple[DataFrame, DataFrame]:
     """(trades, quotes) of one date from an end-of-day table root."""
     return (with_time(read_date(spark, f"{eod_base}/trade", day)),
