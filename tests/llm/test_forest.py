@@ -55,7 +55,7 @@ def test_tries_join_neighbours_first_and_shorten_what_is_apart():
     one = np.ones(5, np.int64)
     joined = lambda prefix, root, signature, size=one, shorten=True: jaccard.joined_in_trie(
         np.array(prefix), np.array(root), size, signature, 6, 0.8, shorten).tolist()
-    assert joined([1, 1, 1, 2, 2], [1, 2, 3, 4, 5], sig(7, 7, 7, 7, 7)) == [[1, 2], [2, 3], [4, 5]]
+    assert joined([1, 1, 1, 2, 2], [1, 2, 3, 4, 5], sig(7, 7, 7, 7, 7)) == [[1, 2], [1, 3], [4, 5]]  # no more than needed
     # 1 and 3 are alike, 2 stands between them in the trie.
     assert joined([1, 1, 1, 2, 2], [1, 2, 3, 4, 5], sig(7, 8, 7, 1, 2)) == [[1, 3]]
     assert joined([1, 1, 1, 2, 2], [1, 2, 3, 4, 5], sig(7, 8, 7, 1, 2), shorten=False) == []
@@ -65,6 +65,13 @@ def test_tries_join_neighbours_first_and_shorten_what_is_apart():
     assert joined([1, 1, 2, 3, 4], [1, 2, 3, 4, 5], sig(7, 7, 7, 7, 7), np.array([10, 13, 1, 1, 1])) == []
 
 
+def test_a_group_joins_with_one_pair_a_member():
+    n = 200
+    found = jaccard.joined_in_trie(np.repeat([1, 2], n), np.r_[np.arange(n), np.arange(n)], np.ones(2 * n, np.int64),
+                                   np.array([[i % 2] * 8 for i in range(n)] * 2, np.uint8), 6, 0.8, True)
+    assert len(found) == n - 2  # two groups, whatever trees show them
+
+
 def template_docs(n, common=56, own=22):
     """Documents that share a template of shingles, at a similarity of 0.56."""
     base = [f"t{i}" for i in range(common + 4)]

@@ -210,6 +210,57 @@ def _like(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray,
     return agree & (np.minimum(size_a, size_b) >= threshold * np.maximum(size_a, size_b) * (1 - 1e-12))
 
 
+def _settled(label: np.ndarray, *groups: np.ndarray) -> np.ndarray:
+    """Least label that rows reach through equal values of the groups."""
+    groups = tuple(np.unique(g, return_inverse=True)[1] for g in groups)
+    while True:
+        new = label
+        for g in groups:
+            least = np.full(g.max(initial=-1) + 1, len(label))
+            np.minimum.at(least, g, new)
+            new = least[g]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _forest(pairs: np.ndarray) -> np.ndarray:
+    """As few pairs as connect what these connect."""
+    ids, at = np.unique(pairs, return_inverse=True)
+    u, v = at.reshape(-1, 2).T
+    label = np.arange(len(ids))
+    while True:
+        new = label.copy()
+        least = np.minimum(new[u], new[v])
+        np.minimum.at(new, u, least)
+        np.minimum.at(new, v, least)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    member = np.flatnonzero(label != np.arange(len(ids)))
+    return np.stack([ids[label[member]], ids[member]], 1)
+
+
+def _joined(label: np.ndarray, root: np.ndarray, size: np.ndarray, signature: np.ndarray, least: int, threshold: float,
+            side: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Pairs of roots that join what is alike but apart (by ``label``, which is
+    brought up to date); with ``side`` only rows of different sides."""
+    pairs = []
+    for i in range(len(root) - 1):
+        apart = i + 1 + np.flatnonzero(label[i + 1:] != label[i])
+        if side is not None:
+            apart = apart[side[apart] != side[i]]
+        if not len(apart):
+            continue
+        hit = apart[_like(signature[apart], signature[i], size[apart], size[i], least, threshold)]
+        if len(hit):
+            found, first = np.unique(label[hit], return_index=True)
+            pairs += [(int(root[i]), int(root[hit[k]])) for k in first]
+            label[np.isin(label, found)] = label[i]
+    return pairs
+
+
 def joined_in_trie(prefix: np.ndarray, root: np.ndarray, size: np.ndarray, signature: np.ndarray, least: int,
                    threshold: float, shorten: bool) -> np.ndarray:
     """Pairs of roots to be joined (n x 2) among rows sorted by prefix and the
@@ -225,16 +276,11 @@ def joined_in_trie(prefix: np.ndarray, root: np.ndarray, size: np.ndarray, signa
         first = np.flatnonzero(np.r_[True, ~same])
         ends = np.r_[first[1:], len(prefix)]
         for a, b in zip(first.tolist(), ends.tolist(), strict=True):
-            if run[a] == run[b - 1]:
-                continue
-            for i in range(a, b - 1):
-                apart = i + 1 + np.flatnonzero((run[i + 1:b] != run[i]) & (root[i + 1:b] != root[i]))
-                if len(apart):
-                    hit = apart[_like(signature[apart], signature[i], size[apart], size[i], least, threshold)]
-                    pairs.append(np.stack([np.full(len(hit), root[i]), root[hit]], 1))
-    found = np.concatenate(pairs)
-    found = found[found[:, 0] != found[:, 1]]
-    return np.unique(np.sort(found, axis=1), axis=0)
+            if run[a] != run[b - 1]:
+                label = _settled(np.arange(b - a), run[a:b], root[a:b])
+                more = _joined(label, root[a:b], size[a:b], signature[a:b], least, threshold)
+                pairs.append(np.array(more, np.int64).reshape(-1, 2))
+    return _forest(np.concatenate(pairs))
 
 
 def _edge_batch(found: np.ndarray) -> pa.RecordBatch:
@@ -282,14 +328,11 @@ def _shortened(rows: DataFrame, least: int, threshold: float) -> DataFrame:
         "prefix", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "root", "size", "signature")
 
     def compare(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        within = key[1].as_py() == key[2].as_py()
         _, root, size, signature = _columns(group)
-        side, pairs = group["block"].to_numpy(), [np.zeros((0, 2), np.int64)]
-        for i in range(len(root) - 1):
-            there = i + 1 + np.flatnonzero((root[i + 1:] != root[i]) & (within | (side[i + 1:] != side[i])))
-            hit = there[_like(signature[there], signature[i], size[there], size[i], least, threshold)]
-            pairs.append(np.stack([np.full(len(hit), root[i]), root[hit]], 1))
-        found = np.unique(np.sort(np.concatenate(pairs), axis=1), axis=0)
+        side = None if key[1].as_py() == key[2].as_py() else group["block"].to_numpy()
+        label = _settled(np.arange(len(root)), root)
+        pairs = _joined(label, root, size, signature, least, threshold, side)
+        found = _forest(np.array(pairs, np.int64).reshape(-1, 2))
         return pa.table({"u": found[:, 0], "v": found[:, 1]})
 
     return dealt.groupBy("prefix", "i", "j").applyInArrow(compare, _EDGE)
