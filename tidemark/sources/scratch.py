@@ -53,3 +53,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(df: DataFrame) -> None:
+    """Delete a table of :func:`materialise` that nothing will read again.
+    Tables elsewhere are left alone."""
+    spark = df.sparkSession
+    top = f"/tidemark/{spark.sparkContext.applicationId}/"
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        if top in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
