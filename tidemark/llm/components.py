@@ -1,13 +1,17 @@
 """Connected components of an edge table by label propagation with pointer
-jumping.  Every round is written to the shared folder; only the number of
-changed labels comes to the driver."""
+jumping.  Every round is written to the shared folder, and the round before the
+last one is deleted; only whether a label has changed comes to the driver.
+
+Defined results: repeated edges count once; an edge of a node with itself, or
+with a null end, connects nothing and gives no row; no edges give no rows;
+other columns are not read."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.sources.scratch import materialise
+from tidemark.sources.scratch import materialise, release
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -27,6 +31,8 @@ def components(edges: DataFrame) -> DataFrame:
         above = label.select(F.col("node").alias("up"), F.col("root").alias("up_root"))
         new = materialise(near.join(above, near["root"] == above["up"], "left")
                           .select("node", "old", F.least("root", F.coalesce("up_root", "root")).alias("root")), "labels")
+        release(label)  # ``new`` is written, nothing reads it any more
         if new.where("old <> root").isEmpty():
+            release(both)
             return new.select("node", "root")
         label = new.select("node", "root")
