@@ -9,16 +9,16 @@
    still count in step 5).
 3. *Randomised SVD.*  Passages of ``PASSAGE`` words, the items among them, are
    the rows of a matrix A.  Two distributed passes compute ``A^T (A Q)`` for a
-   random, then an orthonormal basis Q; each partition adds up its part, the
-   parts are added in a tree, and only the words x rank matrix of one block of
-   items reaches the driver.
+   random, then an orthonormal basis Q; every core adds up its part, the parts
+   are added in a tree of bounded fan-in, and only the words x rank matrix of
+   one block of items reaches the driver.
 4. *Candidates.*  Passages at every ``STRIDE`` words are projected and compared
    with the block's items by cosine.
 5. *Checks.*  A candidate counts if the longest common subsequence of item and
    the words around the passage covers ``LEAST_LCS`` of the item (paraphrases
-   keep most words in order), and if the item's answer stands there: at least
-   half of the words of its ``answer`` column if there is one, else a third of
-   the words with a weight in its last third.
+   and partial copies keep most words in order).  If the benchmark has an
+   ``answer`` column, at least half of the words of the item's answer have to
+   stand there too; an item without one is judged by the subsequence alone.
 
 The benchmark is the query set: it is read in blocks of ``BLOCK_ITEMS`` items,
 each compared with all passages, so what is sent to the tasks is bounded by a
@@ -33,7 +33,6 @@ kept by :func:`clean`.  Whole texts are searched.
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 
@@ -58,6 +57,7 @@ SHORT_ITEM = 6
 #: Words of an item that have a latent weight at least, however common.
 LEAST_KNOWN = 8
 SEED = 11
+_ADDED_BYTES = 64 << 20
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -71,25 +71,26 @@ class Block:
     def __init__(self, items: list[tuple]) -> None:
         self.ids = [i for i, _, _ in items]
         words = [words_in(t) for _, t, _ in items]
-        self.number = {w: k + 1 for k, w in enumerate(sorted({w for ws in words for w in ws}))}
+        answers = [words_in(a) for _, _, a in items]
+        self.number = {w: k + 1 for k, w in enumerate(sorted({w for ws in words + answers for w in ws}))}
         self.items = [np.array([self.number[w] for w in ws], np.int32) for ws in words]
-        self.answers = [{self.number[w] for w in words_in(a) if w in self.number} for _, _, a in items]
+        self.answers = [{self.number[w] for w in a} for a in answers]
+        #: Words of its answer that an item needs at least.
+        self.needed = [-(-len(a) // 2) for a in self.answers]
 
     def weigh(self, df: np.ndarray, n_docs: int) -> np.ndarray:
-        """Weights by word number, and the words each item is known by."""
+        """Weights by word number; words of answers alone have none."""
         idf = np.log((1 + n_docs) / (1 + df)) + 1
         known = (df <= COMMON * n_docs) | (df <= 2)
-        self.needed = []
-        for k, item in enumerate(self.items):
+        asked = np.zeros(len(df), bool)
+        for item in self.items:
+            asked[item] = True
+        known &= asked
+        for item in self.items:
             rare = sorted(set(item.tolist()), key=lambda w: (-idf[w], w))
             if known[rare].sum() < LEAST_KNOWN:
                 known[rare[:LEAST_KNOWN]] = True
         known[0] = False
-        for k, item in enumerate(self.items):
-            given = bool(self.answers[k])
-            if not given:
-                self.answers[k] = {w for w in item[2 * len(item) // 3:].tolist() if known[w]}
-            self.needed.append(-(-len(self.answers[k]) // (2 if given else 3)))
         self.weight = np.where(known, idf / np.sqrt(np.maximum(df, 1)), 0.0)
         return self.weight
 
@@ -138,9 +139,15 @@ def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return lists.values.to_numpy(zero_copy_only=False)[ends[0]:ends[-1]], ends - ends[0]
 
 
+def _per_core(tokens: DataFrame) -> DataFrame:
+    """``tokens`` in as many partitions as there are cores, or fewer: what each
+    of them adds up does not grow in number with the data."""
+    return tokens.coalesce(max(1, tokens.sparkSession.sparkContext.defaultParallelism))
+
+
 def _added(parts: DataFrame, count: int) -> np.ndarray:
     """The sum of all partitions' arrays (column ``a``, float64 bytes), added
-    up in a tree; each task holds one array and reads others in turn."""
+    up in a tree; a task reads some ``_ADDED_BYTES`` and holds one array."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(count)
         for batch in batches:
@@ -148,9 +155,13 @@ def _added(parts: DataFrame, count: int) -> np.ndarray:
                 total += np.frombuffer(a, np.float64)
         yield pa.RecordBatch.from_pydict({"a": [total.tobytes()]})
 
-    n = max(1, math.isqrt(int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    rows = parts.repartition(n).mapInArrow(add, "a binary").repartition(1).mapInArrow(add, "a binary").collect()
-    return np.frombuffer(bytes(rows[0][0]), np.float64) if rows else np.zeros(count)
+    fan = max(2, min(32, _ADDED_BYTES // (8 * count + 1)))
+    n = parts.sparkSession.sparkContext.defaultParallelism
+    while n > 1:
+        n = -(-n // fan)
+        parts = parts.repartition(n).mapInArrow(add, "a binary")
+    rows = parts.collect()  # one array
+    return sum((np.frombuffer(bytes(r[0]), np.float64) for r in rows), np.zeros(count))
 
 
 def _frequencies(tokens: DataFrame, n_words: int) -> tuple[np.ndarray, int]:
@@ -165,7 +176,7 @@ def _frequencies(tokens: DataFrame, n_words: int) -> tuple[np.ndarray, int]:
             total[-1] += batch.num_rows
         yield pa.RecordBatch.from_pydict({"a": [total.tobytes()]})
 
-    total = _added(tokens.select("terms").mapInArrow(count, "a binary"), n_words + 2)
+    total = _added(_per_core(tokens.select("terms")).mapInArrow(count, "a binary"), n_words + 2)
     return total[:-1], int(total[-1])
 
 
@@ -220,7 +231,7 @@ def _basis(tokens: DataFrame, block: Block) -> np.ndarray:
                 total += gram_times(terms, _passages(terms, ends), weight.astype(np.float32), sent)
             yield pa.RecordBatch.from_pydict({"a": [total.tobytes()]})
 
-        y = _added(tokens.select("terms").mapInArrow(multiply, "a binary"), n * rank).reshape(n, rank)
+        y = _added(_per_core(tokens.select("terms")).mapInArrow(multiply, "a binary"), n * rank).reshape(n, rank)
         y = y + gram_times(items, item_row, weight, q)
         last, q = q, np.linalg.qr(y)[0]
     # Rayleigh-Ritz: the best directions first.
