@@ -10,6 +10,16 @@ columns of ``documents``:
 3. benchmark decontamination: documents that hold an item go;
 4. secret scans: spans are replaced by a mark, and ``n_chars`` follows;
 5. best-fit packing: where each piece of each document lies.
+
+Defined results: a null, empty or very short text fails the quality rules, so
+its row goes in stage 1.  Given such rows all the same, stage 2 keeps one row of
+each text (of repeated rows, and of rows with null ids only, any one), stage 3
+keeps them, stage 4 leaves null texts null, and stage 5 gives each a piece of
+one token.  Null ids and nulls in other columns ride along; an empty table gives
+an empty result in every stage; extra columns stay in stages 1 to 4, whatever
+their names, and are not read by stage 5.  Stage 4 needs a column ``n_chars``
+(as ``documents`` has); it is the text's new length where a secret was replaced,
+else as it was.
 """
 
 from __future__ import annotations
