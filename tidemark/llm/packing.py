@@ -12,9 +12,10 @@ task with a table of ``capacity`` counters; a group leaves a handful of
 sequences open, some hundredths of a percent.  Each group is packed in its
 order and in order of falling length, and the better of the two stays.
 
-White space parts the tokenizer's words, so ids are looked up by word; words
-not met before go through the tokenizer itself, many in one call.  The memory of words is
-bounded by ``_MEMORY`` entries for each worker.
+White space parts the tokenizer's words.  A batch of texts is split and reduced
+to its different words at once; these are looked up in a memory bounded by
+``_MEMORY`` words for each worker, and the ids of the batch are gathered from it
+as arrays.  Words not met before go through the tokenizer itself.
 
 Defined results: a null or empty text is one piece holding only the end id;
 repeated rows are separate documents; an empty table gives an empty result;
@@ -28,9 +29,11 @@ import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,107 +45,173 @@ from tidemark.sources.scratch import materialise
 CAPACITY = 4096
 END_ID = 1
 GROUP_ROWS = 100_000
-_MEMORY = 600_000
+_MEMORY = 400_000
 #: Words longer than this are not remembered.
 _LONG_WORD = 64
+#: Texts and words (unless a text has more) that are looked up together.
+_BATCH, _BATCH_CHARS = 500, 4_000_000
 #: Signs that end a word and are a piece of their own.
 _SIGNS = ".,;:!?#*$%&|<>"
 
-_tokenizers: dict[str, tuple] = {}
 
+class _Words:
+    """Token ids of words, a row each in growing arrays; forgets all when full."""
 
-def _encoder(path: str):
-    """The worker's tokenizer and its memory of words."""
-    if path not in _tokenizers:
+    def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
-    return _tokenizers[path]
-
-
-def _stem(word: str) -> str | None:
-    """The letters of a word of letters and closing signs, as the tokenizer
-    sees them: one piece of its own, lower case alike.  Else None."""
-    stem = word.rstrip(_SIGNS)
-    if stem.isascii():
-        return stem.lower() if stem.isalpha() else None
-    plain = stem.isalpha() and stem.lower().isalpha() and unicodedata.is_normalized("NFC", stem)
-    return stem if plain else None
-
-
-def _learn(words: list[str], tokenizer, known: dict[str, bytes]) -> None:
-    """Adds the ids of new words.  Stems go through the tokenizer many at a
-    time, in one line; it tells which piece an id belongs to."""
-    stems = {w: s for w in words if (s := _stem(w))}
-    todo = list({s for s in stems.values() if s not in known})
-    single = {w for w in words if w not in stems}
-    single |= {w[len(s):] for w, s in stems.items()} - known.keys() - {""}
-    for start in range(0, len(todo), 4000):
-        part = todo[start:start + 4000]
-        found = tokenizer.encode(" ".join(part), add_special_tokens=False)
-        ids, piece = np.array(found.ids, "<u4"), np.array(found.word_ids, np.int64)
-        first = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
-        if len(first) != len(part):
-            single.update(part)
-            continue
-        data, at = ids.tobytes(), [*(4 * first).tolist(), 4 * len(ids)]
-        for k, w in enumerate(part):
-            known[w] = data[at[k]:at[k + 1]]
-    rest = list(single)
-    for start in range(0, len(rest), 4000):
-        part = rest[start:start + 4000]
-        for w, e in zip(part, tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, "<u4").tobytes()
-    for w, s in stems.items():
-        if w not in known:
-            known[w] = known[s] + known[w[len(s):]] if len(w) > len(s) else known[s]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.forget()
+
+    def forget(self) -> None:
+        self.row: dict[str, int] = {}
+        self.stems: dict[str, list[int]] = {}
+        self.start, self.ids = np.zeros(1, np.int32), np.zeros(0, np.uint32)
+
+    def rows(self, words: list[str]) -> np.ndarray:
+        """Rows of different words: ``ids[start[r]:start[r + 1]]`` are theirs."""
+        found = list(map(self.row.get, words))
+        if None in found:
+            new = [w for w, r in zip(words, found, strict=True) if r is None]
+            if len(self.start) + len(new) > _MEMORY:
+                self.forget()
+                new = words
+            ids = self.learn(new)
+            first = len(self.start) - 1
+            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            self.start = np.r_[self.start, self.start[-1] + np.cumsum(size, dtype=np.int32)]
+            self.ids = np.r_[self.ids, np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))]
+            given = dict(zip(new, range(first, first + len(new)), strict=True))
+            found = list(given.values()) if len(new) == len(words) else [
+                given[w] if r is None else r for w, r in zip(words, found, strict=True)]
+            for w in [w for w in given if len(w) > _LONG_WORD]:
+                del given[w]
+            self.row.update(given)
+        return np.array(found, np.int32)
+
+    def learn(self, words: list[str]) -> list[list[int]]:
+        """Ids of new words, each by itself."""
+        out: list = [None] * len(words)
+        stems, tokenize = self.stems, self.tokenizer.model.tokenize
+        lettered: list[tuple[int, str, str]] = []
+        single: list[int] = []
+        for i, w in enumerate(words):
+            stem = w if w.isalpha() else w.rstrip(_SIGNS)
+            if stem.isascii() and stem.isalpha() and stem.islower():
+                # Such letters are one piece, as they stand.
+                ids = stems.get(stem)
+                if ids is None:
+                    ids = stems[stem] = [t.id for t in tokenize(stem)]
+                out[i] = ids if stem is w else ids + self.sign(w[len(stem):])
+            elif stem.isalpha() and stem.lower().isalpha() and unicodedata.is_normalized("NFC", stem):
+                lettered.append((i, stem, w[len(stem):]))
+            else:
+                single.append(i)
+        # Other letters go through the tokenizer many at a time, in one line; it
+        # tells which piece an id belongs to.
+        for at in range(0, len(lettered), 4000):
+            part = lettered[at:at + 4000]
+            found = self.tokenizer.encode(" ".join([s for _, s, _ in part]), add_special_tokens=False)
+            ids, piece = found.ids, np.array(found.word_ids, np.int64)
+            first = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]]).tolist()
+            if len(first) != len(part):
+                single += [i for i, _, _ in part]
+                continue
+            for (i, _, tail), a, b in zip(part, first, [*first[1:], len(ids)], strict=True):
+                out[i] = ids[a:b] + self.sign(tail) if tail else ids[a:b]
+        for at in range(0, len(single), 4000):
+            part = single[at:at + 4000]
+            for i, e in zip(part, self.tokenizer.encode_batch([words[i] for i in part], add_special_tokens=False), strict=True):
+                out[i] = e.ids
+        return out
+
+    def sign(self, tail: str) -> list[int]:
+        if tail not in self.stems:
+            self.stems[tail] = self.tokenizer.encode(tail, add_special_tokens=False).ids
+        return self.stems[tail]
+
+
+_known: dict[str, _Words] = {}
+
+
+def _encoded(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of some texts, and where each text's begin (and the end)."""
+    if path not in _known:
+        _known[path] = _Words(path)
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+    flat = lists.flatten()
+    # ASCII letters are lower-cased by the tokenizer; other words stay as they are.
+    flat = pc.if_else(pc.string_is_ascii(flat), pc.ascii_lower(flat), flat)
+    coded = pc.dictionary_encode(flat)
+    known = _known[path]
+    row = known.rows(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)] if len(flat) else np.zeros(0, np.int32)
+    first = known.start[row]
+    size = known.start[row + 1] - first
+    ends = np.r_[0, np.cumsum(size, dtype=np.int64)]
+    # A step of one inside a word, a jump from the end of one to the next.
+    step = np.ones(ends[-1], np.int32)
+    full = np.flatnonzero(size)
+    if len(full):
+        step[ends[full]] = first[full]
+        step[ends[full[1:]]] -= first[full[:-1]] + size[full[:-1]] - 1
+    ids = known.ids[np.cumsum(step, dtype=np.int32)]
+    return ids, ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
 
 
 def encode(texts: list[str | None], path: str) -> list[bytes]:
     """Token ids of each text, little-endian unsigned 32-bit, without an end."""
-    tokenizer, known = _encoder(path)
-    words = [[w for w in (t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if w]
-             for t in texts]
-    found = [list(map(known.get, ws)) for ws in words]
-    new = {w for ws, got in zip(words, found, strict=True) if None in got
-           for w, g in zip(ws, got, strict=True) if g is None}
-    if len(known) + 2 * len(new) > _MEMORY:
-        known.clear()
-    _learn(list(new), tokenizer, known)
-    out = [b"".join([known[w] if g is None else g for w, g in zip(ws, got, strict=True)] if None in got else got)
-           for ws, got in zip(words, found, strict=True)]
-    for w in new:
-        if len(w) > _LONG_WORD:
-            del known[w]
-    return out
+    ids, at = _encoded(pa.array(texts, pa.string()), path)
+    return [ids[a:b].astype("<u4").tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+
+def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """First and length of runs of texts that are looked up together."""
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    at, held = 0, 0
+    for i, n in enumerate(size.tolist()):
+        if i > at and (held + n > _BATCH_CHARS or i - at >= _BATCH):
+            yield at, i - at
+            at, held = i, 0
+        held += n
+    if at < len(size):
+        yield at, len(size) - at
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text",
-             capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """A row per piece: doc_id, piece, start, length, ids (bytes) and
-    ids_crc32."""
+             capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
+    """A row per piece: doc_id, piece, start, length, ids_crc32 and (unless
+    switched off) ids (bytes)."""
     ship(docs.sparkSession)
     df = only(docs, [doc_id, text]).toDF("doc_id", "text").withColumn("text", F.col("text").cast("string"))
     schema = StructType([StructField("doc_id", df.schema["doc_id"].dataType)]).add("piece", "integer") \
-        .add("start", "long").add("length", "long").add("ids", "binary").add("ids_crc32", "long")
-    end = np.array([end_id], "<u4").tobytes()
+        .add("start", "long").add("length", "long").add("ids_crc32", "long")
+    if with_ids:
+        schema = schema.add("ids", "binary")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                rows: list[list] = [[], [], [], [], []]
-                for i, ids in enumerate(encode(batch.column(1).to_pylist(), tokenizer_path)):
-                    ids += end
-                    for k, start in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[start:start + 4 * capacity]
-                        for column, v in zip(rows, (i, k, start // 4, len(part) // 4, part), strict=True):
-                            column.append(v)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(rows[0], pa.int64())), pa.array(rows[1], pa.int32()),
-                     pa.array(rows[2], pa.int64()), pa.array(rows[3], pa.int64()), pa.array(rows[4], pa.binary()),
-                     pa.array([zlib.crc32(x) for x in rows[4]], pa.int64())], names=schema.names)
+            for first, n in _slices(whole.column(1)):
+                batch = whole.slice(first, n)
+                ids, at = _encoded(batch.column(1), tokenizer_path)
+                # Each text's ids and its end id.
+                at = at + np.arange(n + 1)
+                data = np.full(at[-1], end_id, "<u4")
+                data[np.delete(np.arange(at[-1]), at[1:] - 1)] = ids
+                size = np.diff(at)
+                count = -(-size // capacity)
+                doc = np.repeat(np.arange(n), count)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+                start = piece * capacity
+                length = np.minimum(capacity, size[doc] - start)
+                place = at[doc] + start
+                view = memoryview(data.tobytes())
+                parts = [view[4 * a:4 * (a + m)] for a, m in zip(place.tolist(), length.tolist(), strict=True)]
+                columns = [batch.column(0).take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start),
+                           pa.array(length), pa.array([zlib.crc32(x) for x in parts], pa.int64())]
+                if with_ids:
+                    columns.append(pa.array([bytes(x) for x in parts], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return df.mapInArrow(pieces, schema)
 
@@ -213,6 +282,6 @@ def sequences(packed: DataFrame) -> DataFrame:
 def pack_documents(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text",
                    capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """Tokenises and packs ``docs``.  The pieces are written once, so that the
-    tokenizer runs once; their ids travel only if ``with_ids``."""
-    pieces = materialise(tokenise(docs, tokenizer_path, doc_id, text, capacity, end_id), "pieces")
-    return pack(pieces if with_ids else pieces.drop("ids"), "length", capacity)
+    tokenizer runs once; their ids are written only if ``with_ids``."""
+    pieces = materialise(tokenise(docs, tokenizer_path, doc_id, text, capacity, end_id, with_ids), "pieces")
+    return pack(pieces, "length", capacity)
