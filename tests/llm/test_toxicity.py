@@ -87,23 +87,23 @@ def made(n, seed, share=0.3):
         toxic = rng.random() < share
         if toxic:
             for _ in range(rng.randrange(1, 4)):
-                words.insert(rng.randrange(len(words)), "grumb" + rng.choice(["ler", "ish", "ing", "ed", f"x{rng.randrange(99)}"]))
+                words.insert(rng.randrange(len(words)), "grumb" + rng.choice("aeiou") + rng.choice(["nt", "rs", "ck", "ld"]) + rng.choice(["er", "ish", "ing", "ed", ""]))
         out.append((i, " ".join(words), int(toxic)))
     return out
 
 
 def test_unseen_words_with_a_known_stem_are_caught(spark):
-    rows = made(500, 1)
+    rows = made(1500, 1)
     # Endings that no training row has.
-    rows += [(1000 + i, prose(77 + i, 90) + f" grumb{e} " + prose(99 + i, 60), None) for i, e in enumerate(["oso", "ette", "heit"])]
-    rows += [(2000 + i, prose(5000 + i, 100), None) for i in range(40)]
+    rows += [(5000 + i, prose(77 + i, 90) + f" grumb{e} " + prose(99 + i, 60), None) for i, e in enumerate(["oso", "ette", "anter"])]
+    rows += [(6000 + i, prose(5000 + i, 100), None) for i in range(40)]
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
     labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
     got = {r["doc_id"]: r for r in toxicity.score(docs, labels).collect()}
     held = [(got[i]["predicted"], y) for i, _, y in rows if y is not None and got[i]["held_out"]]
     assert len(held) > 60 and sum(p == y for p, y in held) >= 0.95 * len(held)
-    assert [got[1000 + i]["predicted"] for i in range(3)] == [1, 1, 1]
-    assert sum(got[2000 + i]["predicted"] for i in range(40)) <= 2
+    assert [got[5000 + i]["predicted"] for i in range(3)] == [1, 1, 1]
+    assert sum(got[6000 + i]["predicted"] for i in range(40)) <= 2
 
 
 def test_held_out_labels_teach_nothing(spark):

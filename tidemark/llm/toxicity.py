@@ -31,6 +31,7 @@ result; other columns are not read.
 
 from __future__ import annotations
 
+import itertools
 from collections import Counter
 from collections.abc import Iterator
 
@@ -53,6 +54,8 @@ HIDDEN = 16
 GRAMS = (3, 4, 5)
 EPOCHS, ROUNDS = 2, 4
 BATCH = 256
+#: Steps of the first part, and of a round, at least: small samples are read again.
+LEAST_STEPS, LEAST_ROUND = 90, 24
 RATE = 0.01
 #: Share of words hidden in training.
 HIDE = 0.3
@@ -288,7 +291,10 @@ def train(sample: list[tuple[list[list[str]], int]], seed: int = SEED, epochs: i
         return order[np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)])) < most]
 
     everything = np.arange(len(ids_))
-    for _ in range(epochs):
+    start_ = step
+    for i in itertools.count():
+        if i >= epochs and step - start_ >= LEAST_STEPS:
+            break
         fit(some(everything, 6), RATE)
     for i in range(rounds):
         gates = net.gates(net.embed(features))
@@ -296,7 +302,10 @@ def train(sample: list[tuple[list[list[str]], int]], seed: int = SEED, epochs: i
         by = np.lexsort((-logit, owner_))
         best = by[np.r_[True, owner_[by][1:] != owner_[by][:-1]]]
         clean = some(everything[label_[owner_] == 0], 2)
-        for _ in range(2):
+        start_ = step
+        for k in itertools.count():
+            if k >= 2 and step - start_ >= LEAST_ROUND:
+                break
             fit(np.r_[best, clean], RATE / (1 + i))
     return net
 
