@@ -13,10 +13,13 @@ A term that discloses at least ``DISCLOSURE`` of them, seen with the entity in
 stands in a document of the entity, outside base spans.  Sanitising generalises base spans to their kind and
 numeric terms to ``[NUMBER]``, and removes other terms.
 
-Terms are counted over all documents (one row per term and task after
-combining).  Entities in fewer than ``SUPPORT`` texts and terms too frequent to
-disclose enough of an entity, however often they are together, go before pairs
-are made: a document gives a row for each pair of what is left in it.
+Terms are counted over all documents by the function that marks them, combined
+by batch before the shuffle.  Entities in fewer than ``SUPPORT`` texts and terms
+too frequent to disclose enough of an entity, however often they are together,
+go before pairs are made.  Entities that stand in the same documents (a list of
+addresses that is copied) are one *group*, since each term is with all of them
+alike: a document gives a row for each group and term that is left in it, not
+for each entity.
 
 Defined results: a null text counts as empty; repeated rows give repeated
 results, and copies of a text count as one in ``SUPPORT``; an empty table gives
@@ -27,6 +30,7 @@ an empty result; other columns are not read by :func:`find` and kept by
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -47,7 +51,7 @@ COMMON = 50_000
 # The base patterns.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+_DOTTED = re.compile(r"[0-9.]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -73,14 +77,30 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, done))
 
 
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Four runs of digits with dots between, from the left; those with a part
+    over 255 are matches that are dropped.  A run of digits and dots is parted
+    at its dots once, however long its parts are."""
+    for m in _DOTTED.finditer(text):
+        run = m[0]
+        if run.count(".") < 3:
+            continue
+        at, found = m.start(), []
+        for part in run.split("."):
+            found = [*found, (at, part)] if part else []
+            at += len(part) + 1
+            if len(found) == 4:
+                if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for _, p in found):
+                    yield found[0][0], at - 1
+                found = []
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) by kind as listed, then start."""
     out = [("email", a, b) for a, b in _emails(text)]
     if not _DIGIT.search(text):
         return out
-    for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
-            out.append(("ip", *m.span()))
+    out += [("ip", a, b) for a, b in _addresses(text)]
     for m in _CARD.finditer(text):
         digits = "".join(_DIGIT.findall(m[0])) if len(m[0]) < 40 else ""
         if 13 <= len(digits) <= 19 and _luhn(digits):
@@ -142,19 +162,30 @@ def _triples(base: list[dict]) -> list[tuple[str, int, int]]:
 def _revealing(docs: DataFrame, scanned: DataFrame, disclosure: float, support: int) -> DataFrame:
     """row, terms: the terms of a row that disclose too much of its entities."""
     held = scanned.where(F.size("entities") > 0).select("row", "copy", F.explode("entities").alias("entity"))
-    entities = materialise(
-        held.groupBy("entity", "copy").agg(F.count("*").alias("n")).groupBy("entity")
-        .agg(F.count("*").alias("texts"), F.sum("n").alias("n_entity")).where(F.col("texts") >= support)
-        .select("entity", "n_entity"), "entities")
-    live = materialise(held.join(entities, "entity").select("row", "entity", "n_entity"), "live")
+    known = (held.groupBy("entity", "copy").agg(
+                 F.count("*").alias("n"), F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("a"), F.bit_xor(F.xxhash64(F.lit(1), "row")).alias("b"))
+             .groupBy("entity").agg(F.count("*").alias("texts"), F.sum("n").alias("n_entity"), F.sum("a").alias("a"), F.bit_xor("b").alias("b"))
+             .where(F.col("texts") >= support))
+    # Entities of the same documents, told by 128 bits, are one group.
+    groups = F.concat_ws(":", F.pmod("a", F.lit(1 << 62).cast("decimal(38,0)")).cast("string"), F.col("b").cast("string"))
+    entities = materialise(known.select("entity", "n_entity", groups.alias("group")), "entities")
+    live = materialise(held.join(entities, "entity").select("row", "group", "n_entity").distinct(), "live")
     n = max(scanned.count(), 1)
     # A term is with an entity in at most n_term of its documents; a little
     # more is let through here, the test below decides.
     most = lambda x: F.pow(x.cast("double"), F.lit(disclosure)) * (float(n) ** (1 - disclosure) * 1.000001)
     limit = entities.agg(F.max(most(F.col("n_entity")))).first()[0] or 0.0
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))
-    terms = materialise(docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-                        .where(F.col("n_term") >= support), "terms")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: Counter = Counter()
+            for text in batch.column(0).to_pylist():
+                seen.update(set(map(str.lower, _TERM.findall(text))))
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
+                                             names=["term", "n"])
+
+    terms = materialise(docs.select("text").mapInArrow(count, "term string, n bigint").groupBy("term")
+                        .agg(F.sum("n").alias("n_term")).where(F.col("n_term") >= support), "terms")
     common = terms.where(F.col("n_term") > limit).orderBy(F.desc("n_term")).limit(COMMON).select("term")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,10 +203,10 @@ def _revealing(docs: DataFrame, scanned: DataFrame, disclosure: float, support:
     total = F.log2(F.lit(float(n)))
     bits = total - F.log2("n_entity")
     disclosed = total + F.log2("together") - F.log2("n_entity") - F.log2("n_term")
-    pairs = (together.groupBy("entity", "n_entity", "term", "n_term", "copy").agg(F.count("*").alias("n"))
-             .groupBy("entity", "n_entity", "term", "n_term").agg(F.count("*").alias("texts"), F.sum("n").alias("together"))
-             .where((F.col("texts") >= support) & (bits > 0) & (disclosed >= disclosure * bits)).select("entity", "term"))
-    return together.join(pairs, ["entity", "term"]).groupBy("row").agg(F.collect_set("term").alias("terms"))
+    pairs = (together.groupBy("group", "n_entity", "term", "n_term", "copy").agg(F.count("*").alias("n"))
+             .groupBy("group", "n_entity", "term", "n_term").agg(F.count("*").alias("texts"), F.sum("n").alias("together"))
+             .where((F.col("texts") >= support) & (bits > 0) & (disclosed >= disclosure * bits)).select("group", "term"))
+    return together.join(pairs, ["group", "term"]).groupBy("row").agg(F.collect_set("term").alias("terms"))
 
 
 def _spans(docs: DataFrame, disclosure: float, support: int) -> DataFrame:
