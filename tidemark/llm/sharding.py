@@ -8,9 +8,15 @@ cut into equal runs it gives shards whose row counts are at most one apart.
 The result depends on the rows and the seed, not on how the input is split.
 Copies of a row (same id and text) hash alike: copies that would overfill a
 bucket are found by an aggregation (a key and its bytes per row, combined
-before the shuffle) and scattered by their place in the input instead.  There
-are at most ``4 * n_buckets`` such keys, so they are broadcast, like the
-buckets' offsets (one row per bucket).
+before the shuffle) and scattered by their number among such rows of their
+partition; only for them does the result depend on how the input is split.
+These numbers run from 0 in every partition in whatever order its rows come,
+so rows that are computed again after a lost executor fill the same buckets to
+the same counts.
+
+Buckets' places are sums over ranges of buckets, joined to the rows by bucket,
+by which they are dealt anyway; nothing that grows with the rows is broadcast
+or seen by one task.
 
 Defined results: a null text has no bytes and stays null; rows with a null id
 are scattered by their text; repeated rows each get a slot; an empty table
@@ -34,6 +40,8 @@ from tidemark.sources.scratch import scratch_path
 SHARDS = 8
 SEED = 20240607
 BUCKET_BYTES = 16 << 20
+#: Buckets whose offsets are summed by one task.
+RANGE = 1 << 14
 
 
 def _deal(bucket_rows: pa.Table, seed: int, starts: np.ndarray) -> pa.Table:
@@ -48,6 +56,16 @@ def _deal(bucket_rows: pa.Table, seed: int, starts: np.ndarray) -> pa.Table:
                      "shard": pa.array(shard, pa.int32())})
 
 
+def _offsets(df: DataFrame) -> DataFrame:
+    """bucket and offset: how many rows earlier buckets have."""
+    counts = df.groupBy("bucket").agg(F.count("*").alias("n")).withColumn("range", F.floor(F.col("bucket") / RANGE))
+    ranges = counts.groupBy("range").agg(F.sum("n").alias("n"))
+    ahead = ranges.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("ahead"))
+    inside = F.sum("n").over(Window.partitionBy("range").orderBy("bucket")) - F.col("n")
+    return counts.select("bucket", "range", inside.alias("inside")).join(ahead, "range").select(
+        "bucket", (F.col("ahead") + F.col("inside")).alias("offset"))
+
+
 def shuffle_to_shards(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
                       shards: int = SHARDS, seed: int = SEED,
                       bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -69,13 +87,12 @@ def shuffle_to_shards(docs: DataFrame, path: str, doc_id: str = "doc_id", text:
     n_buckets = max(1, math.ceil((total["bytes"] or 0) / bucket_bytes))
     starts = np.array([s * n_rows // shards for s in range(shards)], dtype=np.int64)
 
-    hot = F.broadcast(spark.read.schema("key bigint").parquet(hot_path).withColumn("hot", F.lit(True)))
-    df = df.withColumn("n", F.monotonically_increasing_id()).join(hot, "key", "left")
-    salt = F.when(F.col("hot"), F.col("n")).otherwise(F.lit(0))
-    df = df.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "key", salt), F.lit(n_buckets))).drop("hot", "n", "size")
-    counts = df.groupBy("bucket").agg(F.count("*").alias("n"))
-    offsets = counts.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("offset"))
-    df = df.join(F.broadcast(offsets), "bucket")
+    hot = spark.read.schema("key bigint").parquet(hot_path)
+    cold = df.join(hot, "key", "left_anti").withColumn("salt", F.lit(0).cast("bigint"))
+    copies = df.join(hot, "key", "left_semi").withColumn("salt", F.monotonically_increasing_id() + 1)
+    bucket = F.when(F.col("salt") == 0, F.xxhash64(F.lit(seed + 1), "key")).otherwise(F.xxhash64(F.lit(seed + 1), "salt"))
+    df = cold.unionByName(copies).withColumn("bucket", F.pmod(bucket, F.lit(n_buckets))).drop("salt", "size")
+    df = df.join(_offsets(df), "bucket")
 
     def deal(rows: pa.Table) -> pa.Table:
         return _deal(rows, seed, starts)
