@@ -37,6 +37,7 @@ import zipfile
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -44,6 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import only, ship, text_or_empty
+from tidemark.operators.skew import skewed_left_join
 from tidemark.sources.scratch import materialise
 
 PACKAGE_BYTES = 64 << 20
@@ -51,7 +53,7 @@ RANGE_BYTES = 4 << 20
 # Fixed values of the formats.
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-URN = "urn:tidemark:page:"
+URN, NO_ID = "urn:tidemark:page:", "urn:tidemark:no-page"
 _END, _END64, _LOCATOR = b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07"
 _AT = " 19700101000000 "
 _MANIFEST = "path string, n_records bigint"
@@ -66,17 +68,26 @@ def digest_of(payload: bytes) -> str:
 
 
 def _one_line(value: str) -> str:
-    return "".join(c if c.isprintable() else f"%{ord(c):02X}" for c in value)
+    return "".join(c if c.isprintable() else quote(c) for c in value)
 
 
-def record(page: str, uri: str, payload: bytes, refers: str | None) -> bytes:
+def name_of(page: str | None) -> str:
+    """A record's name: ids are percent-encoded, so that any text comes back."""
+    return f"<{NO_ID}>" if page is None else f"<{URN}{quote(page, safe='')}>"
+
+
+def page_of(name: str | None) -> str | None:
+    return unquote(name[len(URN) + 1:-1]) if name and name.startswith(f"<{URN}") else None
+
+
+def record(page: str | None, uri: str, payload: bytes, refers: str | None) -> bytes:
     """One WARC record; a revisit (``refers`` given) without its payload."""
-    head = [f"WARC-Type: {'response' if refers is None else 'revisit'}", f"WARC-Record-ID: <{URN}{page}>",
+    head = [f"WARC-Type: {'response' if refers is None else 'revisit'}", f"WARC-Record-ID: {name_of(page)}",
             "WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Target-URI: {_one_line(uri)}",
             f"WARC-Payload-Digest: sha1:{digest_of(payload)}", f"Payload-Length: {len(payload)}",
             "Content-Type: text/html; charset=utf-8"]
     if refers is not None:
-        head += [f"WARC-Refers-To: <{URN}{refers}>", f"WARC-Profile: {PROFILE}"]
+        head += [f"WARC-Refers-To: {name_of(refers)}", f"WARC-Profile: {PROFILE}"]
     body = payload if refers is None else b""
     head.append(f"Content-Length: {len(body)}")
     return "\r\n".join(["WARC/1.1", *head, "", ""]).encode() + body + b"\r\n\r\n"
@@ -90,14 +101,13 @@ def parse_record(data: bytes) -> dict:
     if lines[0] != "WARC/1.1":
         raise ValueError(f"not a WARC record: {lines[0][:40]}")
     field = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines[1:])
-    name = lambda x: x.removeprefix(f"<{URN}").removesuffix(">") if x else None
     payload = rest[:int(field["Content-Length"])] if field["WARC-Type"] == "response" else None
     digest = field["WARC-Payload-Digest"].removeprefix("sha1:")
     if payload is not None and (digest_of(payload) != digest or len(payload) != int(field["Payload-Length"])):
         raise ValueError(f"damaged payload of {field['WARC-Record-ID']}")
-    return {"id": name(field["WARC-Record-ID"]), "uri": field["WARC-Target-URI"], "record_type": field["WARC-Type"],
+    return {"id": page_of(field["WARC-Record-ID"]), "uri": field["WARC-Target-URI"], "record_type": field["WARC-Type"],
             "payload_bytes": int(field["Payload-Length"]), "payload_digest": digest,
-            "refers": name(field.get("WARC-Refers-To")), "payload": payload}
+            "refers": page_of(field.get("WARC-Refers-To")), "payload": payload}
 
 
 # --- packages -------------------------------------------------------------------
@@ -164,7 +174,7 @@ def _file_system(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def _write_package(path: str, rows: list[tuple[str, str, bytes, str | None]]) -> None:
+def _write_package(path: str, rows: list[tuple[str | None, str, bytes, str | None]]) -> None:
     files, local = _file_system(path)
     index, at = [], 0
     with files.open_output_stream(local) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_STORED, allowZip64=True) as z:
@@ -173,32 +183,35 @@ def _write_package(path: str, rows: list[tuple[str, str, bytes, str | None]]) ->
                 deflate = zlib.compressobj(3, zlib.DEFLATED, 31)
                 data = deflate.compress(record(page, uri, payload, refers)) + deflate.flush()
                 member.write(data)
-                index.append(f"{page}{_AT}" + json.dumps({"offset": at, "length": len(data)}))
+                index.append(f"{name_of(page)}{_AT}" + json.dumps({"offset": at, "length": len(data)}))
                 at += len(data)
         z.writestr(INDEX, "\n".join(index))
         z.writestr("datapackage.json", json.dumps({"resources": [{"path": ARCHIVE}, {"path": INDEX}]}))
 
 
-def ranges_of(read, size: int, range_bytes: int = RANGE_BYTES) -> list[tuple[int, int, int]]:
-    """Start, length and records of the ranges to read, by the index."""
+def ranges_of(read, size: int, range_bytes: int = RANGE_BYTES) -> list[tuple[int, list[int]]]:
+    """Start and record lengths of the ranges to read, by the index."""
     found = members(read, size)
     archive, index = found[ARCHIVE], found[INDEX]
-    out: list[tuple[int, int, int]] = []
+    out: list[tuple[int, list[int]]] = []
+    held = 0
     for line in read(index.start, index.length).decode().split("\n") if index.length else ():
         where = json.loads(line.rpartition(_AT)[2])
-        if not out or out[-1][1] + where["length"] > range_bytes:
-            out.append((archive.start + where["offset"], 0, 0))
-        start, length, n = out[-1]
-        out[-1] = (start, length + where["length"], n + 1)
+        if not out or held + where["length"] > range_bytes:
+            out.append((archive.start + where["offset"], []))
+            held = 0
+        out[-1][1].append(where["length"])
+        held += where["length"]
     return out
 
 
-def records_in(data: bytes) -> Iterator[dict]:
-    """The records of a range of gzip members."""
-    while data:
+def records_in(data: bytes, lengths: list[int]) -> Iterator[dict]:
+    """The records of a range: gzip members of these lengths."""
+    at = 0
+    for n in lengths:
         inflate = zlib.decompressobj(31)
-        yield parse_record(inflate.decompress(data) + inflate.flush())
-        data = inflate.unused_data
+        yield parse_record(inflate.decompress(data[at:at + n]) + inflate.flush())
+        at += n
 
 
 # --- Spark ------------------------------------------------------------------------
@@ -211,7 +224,8 @@ def roles(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: st
     df = df.withColumn("payload_key", F.unhex(F.sha2(F.col("html").cast("binary"), 256)))
     groups = (df.where(F.octet_length("html") >= least_bytes).groupBy("payload_key")
               .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null"))
-    return (df.join(groups.select("payload_key", "first"), "payload_key", "left")
+    # Copies of one payload may be a third of all rows.
+    return (skewed_left_join(df, groups.select("payload_key", "first"), ["payload_key"], outline=df.select("payload_key"))
             .select("page_id", "url", "html",
                     F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to")))
 
@@ -233,7 +247,7 @@ def write_archives(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_B
         for batch in batches:
             for page, uri, html, refers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 payload = html.encode()
-                rows.append(("null" if page is None else _one_line(page), uri, payload, refers))
+                rows.append((page, uri, payload, refers))
                 held += len(payload)
                 if held >= package_bytes:
                     yield package(rows)
@@ -256,7 +270,7 @@ def read_archives(manifest: DataFrame, range_bytes: int = RANGE_BYTES, payloads:
                     found = ranges_of(read, f.size(), range_bytes)
                 yield pa.RecordBatch.from_pydict({
                     "path": [path] * len(found), "start": pa.array([r[0] for r in found], pa.int64()),
-                    "length": pa.array([r[1] for r in found], pa.int64())})
+                    "lengths": pa.array([r[1] for r in found], pa.list_(pa.int64()))})
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -264,7 +278,7 @@ def read_archives(manifest: DataFrame, range_bytes: int = RANGE_BYTES, payloads:
                 files, local = _file_system(r["path"])
                 with files.open_input_file(local) as f:
                     f.seek(r["start"])
-                    rows = list(records_in(f.read(r["length"])))
+                    rows = list(records_in(f.read(sum(r["lengths"])), r["lengths"]))
                 if not payloads:
                     rows = [x | {"payload": None} for x in rows]
                 yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([
@@ -275,7 +289,7 @@ def read_archives(manifest: DataFrame, range_bytes: int = RANGE_BYTES, payloads:
     spark = manifest.sparkSession
     ship(spark)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranges = manifest.select("path").repartition(tasks).mapInArrow(plan, "path string, start bigint, length bigint")
+    ranges = manifest.select("path").repartition(tasks).mapInArrow(plan, "path string, start bigint, lengths array<bigint>")
     return ranges.repartition(tasks).mapInArrow(fetch, _RECORD)
 
 
@@ -286,5 +300,5 @@ def round_trip(pages: DataFrame, folder: str, page_id: str = "page_id", url: str
     kind = dict(pages.dtypes)[page_id]
     read = read_archives(write_archives(roles(pages, page_id, url, html, least_bytes), folder), payloads=False)
     return read.select(
-        F.when(F.col("id") != "null", F.col("id")).cast(kind).alias("page_id"), "payload_bytes", "payload_digest",
+        F.col("id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest",
         "record_type", F.col("refers").cast(kind).alias("refers_to"))
