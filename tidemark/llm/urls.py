@@ -2,15 +2,16 @@
 
 Method: a host's canonical key is its labels from last to first, each closed
 by a zero; all subdomains of a host then share its key as a prefix, and a rule
-covers an interval of the sorted urls.  The urls are range-partitioned and
-sorted by key; a rule goes to the partitions its interval meets; each
-partition is swept once, with a stack of the rules whose interval holds the
-current url.  Nested rules lie above each other on the stack.
+covers an interval of the sorted urls.  Urls and rules are range-partitioned
+and sorted by key together, so a rule stands where its interval begins; the
+rules whose interval began before a partition are those whose key is a prefix
+of the partition's first key, found by a join on its prefixes.  Each partition
+is swept once, with a stack of the rules whose interval holds the current url.
+Nested rules lie above each other on the stack.
 
 Urls are split into ranges of about ``per_part`` rows and ties on the key are
 split by position, so one host with most of the urls spreads over many tasks.
-Of the ranges, only their first and last keys come to the driver (one pair
-per ``per_part`` urls).
+Neither keys nor rules come to the driver.
 
 A rule fits its host and all subdomains if the url's path starts with the
 rule's path.  The longest rule (host and path) wins; among equally long ones
@@ -25,10 +26,8 @@ read.
 
 from __future__ import annotations
 
-import bisect
 import math
 import string
-from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -119,35 +118,27 @@ def judge(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url: str
     df = only(pages, [page_id, url]).toDF("page_id", "url")
     host, path = host_and_path(F.col("url").cast("string"))
     df = df.select("page_id", host.alias("host"), path.alias("path"))
-    df = df.withColumns({"key": host_key(F.col("host")), "n": F.monotonically_increasing_id()})
-    n = max(1, math.ceil(df.count() / per_part))
-    df = df.repartitionByRange(n, "key", "n").drop("n").withColumn("part", F.spark_partition_id())
-    df = materialise(df, "urls")
-    bounds = sorted(tuple(r) for r in df.groupBy("part").agg(F.min("key"), F.max("key")).collect())
+    n = max(1, math.ceil(df.count() / per_part))  # counted from file footers
     id_type = dict(df.dtypes)["page_id"]
-
     keyed = rules.where(F.col("host").isNotNull()).select(
         host_key(_ascii_lower(F.col("host"))).alias("key"),
         F.coalesce("path", F.lit("")).alias("path"),
         F.concat(_ascii_lower(F.col("host")), F.coalesce("path", F.lit(""))).alias("rule"), "action")
-    firsts, lasts = [b[1] for b in bounds], [b[2] for b in bounds]
-    parts = [b[0] for b in bounds]
-
-    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each rule once for every partition its interval meets."""
-        for batch in batches:
-            rows = []
-            for r in batch.to_pylist():
-                # The first range that ends at or after the key, then on while
-                # ranges start inside the interval.
-                at = bisect.bisect_left(lasts, r["key"])
-                while at < len(parts) and (firsts[at] <= r["key"] or firsts[at].startswith(r["key"])):
-                    rows.append(r | {"part": parts[at]})
-                    at += 1
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
-                [(k, pa.string()) for k in ("key", "path", "rule", "action")] + [("part", pa.int32())]))
-
-    dealt = keyed.mapInArrow(met, "key string, path string, rule string, action string, part int")
+    # Rules come before the urls of the same key.
+    urls = df.withColumns({"key": host_key(F.col("host")), "n": F.monotonically_increasing_id()})
+    both = keyed.withColumn("n", F.lit(-1).cast("bigint")).unionByName(urls, allowMissingColumns=True)
+    both = materialise(both.repartitionByRange(n, "key", "n").withColumn("part", F.spark_partition_id()), "urls")
+    here = both.where(F.col("n") < 0).select("part", "key", "path", "rule", "action")
+    # Rules that reach in from before: their keys are prefixes of the first key,
+    # of no more labels than a rule has.
+    labels = keyed.agg(F.max(F.size(F.split("key", "\x00")))).first()[0] or 0
+    known = F.split("first", "\x00")
+    prefix = lambda k: F.concat(F.array_join(F.slice(known, F.lit(1), k), "\x00"), F.lit("\x00"))
+    most = F.least(F.size(known) - 1, F.lit(labels))
+    firsts = both.groupBy("part").agg(F.min("key").alias("first")).where(most > 0).select(
+        "part", F.explode(F.transform(F.sequence(F.lit(1), most), prefix)).alias("key"))
+    dealt = materialise(here.unionByName(firsts.join(keyed, "key").select(*here.columns)).distinct(), "rules")
+    df = both.where(F.col("n") >= 0).select("part", "key", "page_id", "host", "path")
 
     def swept(urls: pa.Table, found: pa.Table) -> pa.Table:
         urls = urls.sort_by("key")
