@@ -11,16 +11,24 @@ anywhere else, in the same text or another.
    is an anchor.  Its *context* holds every string it can be the anchor of.
 2. Keys that occur once are dropped by an aggregation.  A context that occurs
    twice or more is covered whole, wherever it occurs; one occurrence stands
-   for all from here on.
+   for all from here on.  A text is looked at once, however many copies it has;
+   texts with copies are covered whole.
 3. Different contexts of one key are dealt out by key.  A task merges what
    overlaps in a text, so that each position stands there once, builds the
    suffix array of the positions with ``length`` bytes in common, keeps the
    classes with different left neighbours, and scans their longest common
    prefixes with a stack: each interval of the tree with different left
    neighbours is a maximal repeat, and all its occurrences are marked.
-4. A key with more than ``HOT`` contexts (a passage in very many surroundings)
-   is settled by counting the hashes of its strings instead, an aggregation
-   that combines before the shuffle; no group is gathered.
+4. The suffix array of a key with more than ``HOT`` contexts (a passage in very
+   many surroundings) does not fit into a task; it is sorted by Spark, and
+   longest common prefixes are taken of neighbours.  All strings of a context
+   hold its anchor, so what is covered reaches from the leftmost repeated
+   string's start to the rightmost one's end.  Of contexts that go on alike
+   after the anchor, the longest common prefix of what precedes it, read
+   backwards, tells the leftmost; of contexts that are alike before it, the same
+   holds the other way; strings that two contexts share though they differ on
+   both sides are counted, where the bounds that the neighbours set leave open
+   whether there are any.
 5. The marks of a text are merged; a text's copies share its result.
 
 Defined results: a null text counts as empty; texts shorter than ``length``
@@ -43,6 +51,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import fresh, only, ship, text_or_empty
 from tidemark.llm.jaccard import text_key
+from tidemark.operators.skew import skewed_left_join
 from tidemark.sources.scratch import materialise
 
 LENGTH = 200
@@ -53,6 +62,7 @@ BATCH_BYTES = 2 << 20
 #: Bytes of suffixes that are compared at once.
 SLICE_BYTES = 1 << 20
 _PIECE = 1 << 22
+_UNITS = 100_000
 _PLACE = np.uint64((1 << 24) - 1)
 _C = np.uint64(0x9E3779B97F4A7C15)
 _D = np.uint64(0xBF58476D1CE4E5B9)
@@ -264,11 +274,17 @@ _ANCHOR = "key bigint, context bigint, unit binary, place bigint"
 
 def _anchors(texts: DataFrame, length: int, gram: int) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()  # copies add nothing
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
                 keys, contexts, places, rows = [], [], [], []
-                for i, text in enumerate(batch.column(1).to_pylist()):
+                for i, (unit, text) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:2]), strict=True)):
+                    if unit in seen:
+                        continue
+                    if len(seen) >= _UNITS:
+                        seen.clear()
+                    seen.add(unit)
                     data = text.encode()
                     p, k = anchors(data, length, gram)
                     keys.append(k)
@@ -287,10 +303,111 @@ def _anchors(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.mapInArrow(emit, _ANCHOR)
 
 
+def _neighbours(rows: DataFrame) -> DataFrame:
+    """id and reach: the longest common prefix of ``value`` with that of another
+    row of the same ``part``; no row of a part alone.  ``rows``: id (unique),
+    part (bigint), value (bytes).
+
+    Spark sorts by part and value, and neighbours are compared; the first and
+    last rows of the sorted partitions, two each, once more among themselves.
+    """
+    def reaches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(held: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([h[0] for h in held], pa.int64()), pa.array([h[1] for h in held], pa.int64()),
+                 pa.array([h[2] if h[4] else None for h in held], pa.binary()), pa.array([h[3] for h in held], pa.int32()),
+                 pa.array([h[4] for h in held], pa.bool_())], names=["id", "part", "value", "reach", "edge"])
+
+        last = None  # id, part, value, reach (-1: no other), whether at an end
+        for batch in batches:
+            held = []
+            for i, part, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                shared = _common(last[2], value) if last is not None and last[1] == part else -1
+                if last is not None:
+                    held.append((*last[:3], max(last[3], shared), last[4]))
+                last = (i, part, value, shared, last is None)
+            yield out(held)
+        if last is not None:
+            yield out([(*last[:4], True)])
+
+    schema = "id bigint, part bigint, value binary, reach int, edge boolean"
+    ordered = rows.select("id", "part", "value").repartitionByRange("part", "value").sortWithinPartitions("part", "value")
+    found = materialise(ordered.mapInArrow(reaches, schema), "reaches")
+    ends = found.where("edge").select("id", "part", "value").repartition(1).sortWithinPartitions("part", "value")  # two a partition
+    both = found.select("id", "reach").unionByName(ends.mapInArrow(reaches, schema).select("id", "reach"))
+    return both.groupBy("id").agg(F.max("reach").alias("reach")).where("reach >= 0")
+
+
+def _hot_marks(contexts: DataFrame, length: int, gram: int) -> DataFrame:
+    """unit, start and end of what is covered of contexts of hot keys, one row
+    each.  ``contexts``: key, unit, place, before (bytes ahead of the anchor,
+    backwards) and after (bytes from the anchor on)."""
+    rows = materialise(contexts.withColumns({
+        "id": F.monotonically_increasing_id(), "before_part": F.xxhash64("key", "before"), "after_part": F.xxhash64("key", "after")}), "hot")
+
+    def other(side: str) -> DataFrame:
+        """By part: how far a context that differs on this side goes along."""
+        kinds = rows.groupBy(f"{side}_part").agg(F.first("key").alias("part"), F.first(side).alias("value")) \
+            .withColumnRenamed(f"{side}_part", "id")
+        return _neighbours(kinds).select(F.col("id").alias(f"{side}_part"), F.col("reach").alias(f"{side}_other"))
+
+    def alike(side: str, value: str) -> DataFrame:
+        """By context: how far one that is equal on this side goes along on the
+        other."""
+        return _neighbours(rows.select("id", F.col(f"{side}_part").alias("part"), F.col(value).alias("value"))) \
+            .select("id", F.col("reach").alias(f"{side}_alike"))
+
+    both = (rows.join(other("before"), "before_part", "left").join(other("after"), "after_part", "left")
+            .join(alike("after", "before"), "id", "left").join(alike("before", "after"), "id", "left"))
+    # A string begins o bytes ahead of the anchor, for o from low to high.
+    size = {side: F.octet_length(side) for side in ("before", "after")}
+    found = {"after": (length - size["after"], F.col("after_alike")), "before": (length - F.col("before_alike"), size["before"])}
+    spans = [F.when(low <= high, F.struct(low.alias("low"), high.alias("high"))) for low, high in found.values()]
+    both = materialise(both.select(
+        "id", "key", "unit", "place", "before", "after", *[x.alias(f"by_{side}") for side, x in zip(found, spans, strict=True)],
+        F.greatest(length - F.col("after_other"), F.lit(0)).alias("low"), F.col("before_other").alias("high")), "bounds")
+    # Offsets that any context of the key leaves open: its own bounds reach
+    # beyond what it is known to share.
+    first, last = F.greatest("by_after.high", "by_before.high"), F.least("by_after.low", "by_before.low")
+    open_ = F.filter(F.sequence("low", "high"), lambda o: first.isNull() | (o > first) | (o < last))
+    asked = (both.where("low <= high").select("key", F.explode(open_).alias("o")).distinct()
+             .groupBy("key").agg(F.collect_list("o").alias("asked")))  # at most ``length`` of them
+    asking = skewed_left_join(both.where("low <= high").select("id", "key", "before", "after", "low", "high"), asked, ["key"])
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for i, before, after, low, high, offsets in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                data, at = before[::-1] + after, len(before)
+                held: dict[bytes, tuple[int, int, int]] = {}  # a string that comes again in its context is one row
+                for o in offsets:
+                    if low <= o <= high:
+                        name = xxhash.xxh3_128_digest(data[at - o:at - o + length])
+                        least, most, n = held.get(name, (o, o, 0))
+                        held[name] = (min(least, o), max(most, o), n + 1)
+                rows += [(i, name, *x) for name, x in held.items()]
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.int32()),
+                 pa.array(columns[3], pa.int32()), pa.array(columns[4], pa.int64())], names=["id", "string", "least", "most", "n"])
+
+    tried = materialise(asking.where(F.col("asked").isNotNull()).select("id", "before", "after", "low", "high", "asked")
+                        .mapInArrow(strings, "id bigint, string binary, least int, most int, n bigint"), "strings")
+    again = tried.groupBy("string").agg(F.sum("n").alias("times")).where("times > 1").select("string")
+    counted = tried.join(again, "string").groupBy("id").agg(F.struct(F.min("least").alias("low"), F.max("most").alias("high")).alias("counted"))
+    all_ = both.join(counted, "id", "left")
+    ways = ("by_after", "by_before", "counted")
+    first = F.greatest(*[F.col(f"{w}.high") for w in ways])  # NULLs are skipped
+    last = F.greatest(F.least(*[F.col(f"{w}.low") for w in ways]), F.lit(0))
+    return all_.where(first.isNotNull()).select("unit", (F.col("place") - first).alias("start"), (F.col("place") - last + length).alias("end"))
+
+
 def _spans(texts: DataFrame, length: int, gram: int) -> DataFrame:
     """unit, text and the sorted merged spans of each distinct text that has
     any.  ``texts``: unit (binary), text (string)."""
-    found = _anchors(texts.where(F.octet_length("text") >= length), length, gram)
+    texts = texts.where(F.octet_length("text") >= length)
+    copied = texts.groupBy("unit").agg(F.count("*").alias("n")).where("n > 1").select("unit")
+    found = _anchors(texts, length, gram)
     keys = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     repeated = materialise(found.join(keys, "key"), "anchors")
     pairs = repeated.groupBy("key", "context").agg(
@@ -301,10 +418,13 @@ def _spans(texts: DataFrame, length: int, gram: int) -> DataFrame:
              .select("unit", "place", F.lit(None).cast("bigint").alias("key"), F.lit(0).cast("bigint").alias("ways"))
              .distinct())  # copies of a text: once
     look = pairs.where("ways > 1").select("one.unit", "one.place", "key", "ways")
-    per_unit = whole.unionByName(look).groupBy("unit").agg(F.collect_list(F.struct("place", "key", "ways")).alias("places"))
-    # One row per distinct text: the join has put its copies together.
-    held = materialise(texts.join(per_unit, "unit").groupBy("unit").agg(
-        F.first("text").alias("text"), F.first("places").alias("places")), "texts")
+    per_unit = whole.unionByName(look).groupBy("unit").agg(F.collect_list(F.struct("place", "key", "ways")).alias("places")) \
+        .join(copied.withColumn("copied", F.lit(True)), "unit", "full")
+    # One row per distinct text, copies combined before they are moved.
+    one = texts.groupBy("unit").agg(F.first("text").alias("text"))
+    none = F.array().cast("array<struct<place:bigint,key:bigint,ways:bigint>>")
+    held = materialise(one.join(per_unit, "unit").select(
+        "unit", "text", F.coalesce("places", none).alias("places"), F.coalesce("copied", F.lit(False)).alias("copied")), "texts")
 
     def cut(hot: bool):
         def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,21 +434,19 @@ def _spans(texts: DataFrame, length: int, gram: int) -> DataFrame:
                     for x in places:
                         if x["key"] is None or (x["ways"] > HOT) != hot:
                             continue
-                        a, b = context(x["place"], len(data), length, gram)
-                        if hot:
-                            # Every string with this anchor, by 128 bits.
-                            rows += [(xxhash.xxh3_128_digest(data[s:s + length]), unit, s)
-                                     for s in range(a, min(x["place"], b - length) + 1)]
-                        else:
-                            rows.append((x["key"], unit, a, data[a:b]))
+                        p = x["place"]
+                        a, b = context(p, len(data), length, gram)
+                        rows.append((x["key"], unit, p, data[a:p][::-1], data[p:b]) if hot else (x["key"], unit, a, data[a:b]))
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=(
-                            ["string", "unit", "start"] if hot else ["key", "unit", "start", "data"]))
+                            ["key", "unit", "place", "before", "after"] if hot else ["key", "unit", "start", "data"]))
         return emit
 
-    strings = held.mapInArrow(cut(True), "string binary, unit binary, start bigint").distinct()
-    common = strings.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string")
-    hot_marks = strings.join(common, "string").select("unit", "start", (F.col("start") + length).alias("end"))
+    looked = held.select("unit", "text", "places")
+    hot = look.where(F.col("ways") > HOT)
+    hot_marks = held.where("false").select("unit", F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("end"))
+    if not hot.isEmpty():
+        hot_marks = _hot_marks(looked.mapInArrow(cut(True), "key bigint, unit binary, place bigint, before binary, after binary"), length, gram)
 
     n = look.where(F.col("ways") <= HOT).count()
     batches = max(1, math.ceil(n * 2 * length / BATCH_BYTES))
@@ -339,21 +457,21 @@ def _spans(texts: DataFrame, length: int, gram: int) -> DataFrame:
                          "start": pa.array([r[1] for r in rows], pa.int64()),
                          "end": pa.array([r[2] for r in rows], pa.int64())})
 
-    marks = (held.mapInArrow(cut(False), "key bigint, unit binary, start bigint, data binary")
+    marks = (looked.mapInArrow(cut(False), "key bigint, unit binary, start bigint, data binary")
              .withColumn("batch", F.pmod(F.xxhash64("key"), F.lit(batches))).groupBy("batch")
              .applyInArrow(scan, "unit binary, start bigint, end bigint").unionByName(hot_marks)
              .groupBy("unit").agg(F.collect_list(F.struct("start", "end")).alias("marks")))
     every = held.join(marks, "unit", "left").select(
-        "unit", "text", F.transform(F.filter("places", lambda x: x["key"].isNull()), lambda x: x["place"]).alias("whole"),
+        "unit", "text", "copied", F.transform(F.filter("places", lambda x: x["key"].isNull()), lambda x: x["place"]).alias("whole"),
         F.coalesce("marks", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("marks"))
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], [], []]
-            for text, whole_, marks_ in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
+            for text, copied_, whole_, marks_ in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
                 data = text.encode()
                 spans = merged([context(p, len(data), length, gram) for p in whole_]
-                               + [(m["start"], m["end"]) for m in marks_])
+                               + [(m["start"], m["end"]) for m in marks_]) if not copied_ else [(0, len(data))]
                 kept, at = [], 0
                 for a, b in spans:
                     kept.append(data[at:a])
@@ -396,7 +514,8 @@ def remove(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int
     character, its remaining bytes become replacement characters."""
     unit = fresh(docs, "unit")
     df = _plain(docs.select(F.lit(0).alias("doc_id"), F.col(f"`{text}`").alias("text")), "doc_id", "text")
-    kept = _spans(df.select("unit", "text"), length, gram).select(F.col("unit").alias(unit), F.col("kept").alias(f"{unit}_kept"))
     keyed = docs.withColumn(unit, text_key(text_or_empty(F.col(f"`{text}`"))))
-    clean = F.coalesce(F.col(f"{unit}_kept"), F.col(f"`{text}`"))
+    cut_out = fresh(keyed, "kept")
+    kept = _spans(df.select("unit", "text"), length, gram).select(F.col("unit").alias(unit), F.col("kept").alias(cut_out))
+    clean = F.coalesce(F.col(cut_out), F.col(f"`{text}`"))
     return (keyed.join(kept, unit, "left").withColumn(text, clean).select(*[F.col(f"`{c}`") for c in docs.columns]))
