@@ -188,6 +188,40 @@ def test_encode_equals_the_tokenizer():
     assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+def test_encode_keeps_special_ids_apart_from_other_cases():
+    from tokenizers import Tokenizer
+
+    path = registry.tokenizer_path()
+    tokenizer = Tokenizer.from_file(path)
+    texts = ["<|ENDOFTEXT|>", "a <|EndOfText|>. <|endoftext|>.", "x<|STARTOFTEXT|>y <|startoftext|>", "The|THE|| <|", "İ. क़. É! é,"]
+    got = [np.frombuffer(b, "<u4").tolist() for b in packing.encode(texts, path)]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_met_often_go_through_the_tokenizer_once(monkeypatch):
+    path = registry.tokenizer_path()
+    learned = []
+
+    class Noted(packing._Words):
+        def learn(self, words):
+            learned.extend(words)
+            return super().learn(words)
+
+    monkeypatch.setattr(packing, "_known", {path: Noted(path)})
+    monkeypatch.setattr(packing, "_MEMORY", 100)
+    packing.encode(["The the, THE. the,", "over, Über. über."], path)
+    assert sorted(learned) == sorted(["the", "over", ",", ".", "Über", "über"])
+    rng = random.Random(4)
+    for _ in range(30):
+        packing.encode(["The over, " + " ".join("".join(rng.choices("abcdefgh", k=9)) for _ in range(40)) + "."], path)
+        assert len(packing._known[path].row) <= 100
+    assert [learned.count(w) for w in ("the", "over", ",", ".")] == [1, 1, 1, 1]
+    long = [" ".join("y" * 70 + "z" * i for i in range(1, 50)) for _ in range(50)]
+    for text in long:
+        packing.encode([text], path)
+    assert len(packing._known[path].ids) <= 2 * packing._IDS_A_WORD * 100 + 49 * 120
+
+
 def test_sum_of_squares_is_the_best_step():
     rng, capacity = random.Random(1), 30
     lengths = [rng.randrange(1, 31) for _ in range(400)]

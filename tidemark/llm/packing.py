@@ -13,9 +13,10 @@ sequences open, some hundredths of a percent.  Each group is packed in its
 order and in order of falling length, and the better of the two stays.
 
 White space parts the tokenizer's words.  A batch of texts is split and reduced
-to its different words at once; these are looked up in a memory bounded by
-``_MEMORY`` words for each worker, and the ids of the batch are gathered from it
-as arrays.  Words not met before go through the tokenizer itself.
+to its different words at once; letters and the signs after them are then looked
+up apart, in a memory bounded by ``_MEMORY`` entries for each worker, and the ids
+of the batch are gathered from it as arrays.  What was not met before goes through
+the tokenizer itself; a full memory keeps the half met in most batches.
 
 Defined results: a null or empty text is one piece holding only the end id;
 repeated rows are separate documents; an empty table gives an empty result;
@@ -29,7 +30,7 @@ import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,116 +47,162 @@ CAPACITY = 4096
 END_ID = 1
 GROUP_ROWS = 100_000
 _MEMORY = 400_000
+#: Ids remembered, for each word that fits into the memory.
+_IDS_A_WORD = 8
 #: Words longer than this are not remembered.
 _LONG_WORD = 64
 #: Texts and words (unless a text has more) that are looked up together.
 _BATCH, _BATCH_CHARS = 500, 4_000_000
 #: Signs that end a word and are a piece of their own.
 _SIGNS = ".,;:!?#*$%&|<>"
+#: Special ids are written with this, in letters that the case matters of.
+_SPECIAL = "<|"
 
 
 class _Words:
-    """Token ids of words, a row each in growing arrays; forgets all when full."""
+    """Token ids of words, a row each in growing arrays.  When full, it keeps the
+    half of them (and of the ids) that was asked for most often."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
         self.row: dict[str, int] = {}
-        self.stems: dict[str, list[int]] = {}
         self.start, self.ids = np.zeros(1, np.int32), np.zeros(0, np.uint32)
+        self.asked = np.zeros(0, np.int32)
+
+    def forget(self) -> None:
+        """Keeps the words asked for most often, of equals the latest."""
+        known = np.fromiter(self.row.values(), np.int64, len(self.row))
+        order = known[np.lexsort((-known, -self.asked[known]))][:_MEMORY // 2]
+        size = np.diff(self.start)
+        order = order[np.cumsum(size[order]) <= _IDS_A_WORD * _MEMORY // 2]
+        kept = np.sort(order)
+        new = np.full(len(size), -1, np.int64)
+        new[kept] = np.arange(len(kept))
+        self.row = {w: n for w, n in zip(self.row, new[known].tolist(), strict=True) if n >= 0}
+        self.ids, ends = _gathered(self.ids, self.start[kept], size[kept])
+        self.start, self.asked = ends.astype(np.int32), self.asked[kept] // 2
 
     def rows(self, words: list[str]) -> np.ndarray:
         """Rows of different words: ``ids[start[r]:start[r + 1]]`` are theirs."""
-        found = list(map(self.row.get, words))
-        if None in found:
-            new = [w for w, r in zip(words, found, strict=True) if r is None]
-            if len(self.start) + len(new) > _MEMORY:
+        found, missing = self.look_up(words)
+        if missing:
+            if len(self.asked) + len(missing) > _MEMORY or len(self.ids) > _IDS_A_WORD * _MEMORY:
                 self.forget()
-                new = words
+                found, missing = self.look_up(words)
+            new = [words[i] for i in missing]
             ids = self.learn(new)
-            first = len(self.start) - 1
+            first = len(self.asked)
             size = np.fromiter(map(len, ids), np.int64, len(ids))
             self.start = np.r_[self.start, self.start[-1] + np.cumsum(size, dtype=np.int32)]
             self.ids = np.r_[self.ids, np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))]
-            given = dict(zip(new, range(first, first + len(new)), strict=True))
-            found = list(given.values()) if len(new) == len(words) else [
-                given[w] if r is None else r for w, r in zip(words, found, strict=True)]
-            for w in [w for w in given if len(w) > _LONG_WORD]:
-                del given[w]
-            self.row.update(given)
-        return np.array(found, np.int32)
+            self.asked = np.r_[self.asked, np.zeros(len(new), np.int32)]
+            found[missing] = np.arange(first, first + len(new))
+            self.row.update(zip(new, range(first, first + len(new)), strict=True))
+            for w in [w for w in new if len(w) > _LONG_WORD]:
+                del self.row[w]
+        self.asked[found] += 1
+        return found
+
+    def look_up(self, words: list[str]) -> tuple[np.ndarray, list[int]]:
+        """Rows of words (-1: not known), and the places of those not known."""
+        found = np.fromiter(map(self.row.get, words, repeat(-1)), np.int32, len(words))
+        return found, np.flatnonzero(found < 0).tolist()
 
     def learn(self, words: list[str]) -> list[list[int]]:
         """Ids of new words, each by itself."""
         out: list = [None] * len(words)
-        stems, tokenize = self.stems, self.tokenizer.model.tokenize
-        lettered: list[tuple[int, str, str]] = []
+        tokenize = self.tokenizer.model.tokenize
+        lettered: list[int] = []
         single: list[int] = []
         for i, w in enumerate(words):
-            stem = w if w.isalpha() else w.rstrip(_SIGNS)
-            if stem.isascii() and stem.isalpha() and stem.islower():
+            if w.isascii() and w.isalpha() and w.islower():
                 # Such letters are one piece, as they stand.
-                ids = stems.get(stem)
-                if ids is None:
-                    ids = stems[stem] = [t.id for t in tokenize(stem)]
-                out[i] = ids if stem is w else ids + self.sign(w[len(stem):])
-            elif stem.isalpha() and stem.lower().isalpha() and unicodedata.is_normalized("NFC", stem):
-                lettered.append((i, stem, w[len(stem):]))
+                out[i] = [t.id for t in tokenize(w)]
+            elif _one_piece(w):
+                lettered.append(i)
             else:
                 single.append(i)
         # Other letters go through the tokenizer many at a time, in one line; it
         # tells which piece an id belongs to.
         for at in range(0, len(lettered), 4000):
             part = lettered[at:at + 4000]
-            found = self.tokenizer.encode(" ".join([s for _, s, _ in part]), add_special_tokens=False)
+            found = self.tokenizer.encode(" ".join([words[i] for i in part]), add_special_tokens=False)
             ids, piece = found.ids, np.array(found.word_ids, np.int64)
             first = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]]).tolist()
             if len(first) != len(part):
-                single += [i for i, _, _ in part]
+                single += part
                 continue
-            for (i, _, tail), a, b in zip(part, first, [*first[1:], len(ids)], strict=True):
-                out[i] = ids[a:b] + self.sign(tail) if tail else ids[a:b]
+            for i, a, b in zip(part, first, [*first[1:], len(ids)], strict=True):
+                out[i] = ids[a:b]
         for at in range(0, len(single), 4000):
             part = single[at:at + 4000]
             for i, e in zip(part, self.tokenizer.encode_batch([words[i] for i in part], add_special_tokens=False), strict=True):
                 out[i] = e.ids
         return out
 
-    def sign(self, tail: str) -> list[int]:
-        if tail not in self.stems:
-            self.stems[tail] = self.tokenizer.encode(tail, add_special_tokens=False).ids
-        return self.stems[tail]
-
 
 _known: dict[str, _Words] = {}
 
 
+def _one_piece(word: str) -> bool:
+    """Whether the tokenizer takes a word as one piece of letters."""
+    return word.isalpha() and word.lower().isalpha() and unicodedata.is_normalized("NFC", word)
+
+
+def _listed(strings: pa.Array) -> list[str]:
+    return strings.to_numpy(zero_copy_only=False).tolist()
+
+
+def _gathered(ids: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``ids[first:first + size]`` of all runs on end, and where each begins (and
+    the end)."""
+    ends = np.r_[0, np.cumsum(size, dtype=np.int64)]
+    at = np.repeat((first - ends[:-1]).astype(np.int32), size)
+    at += np.arange(len(at), dtype=np.int32)
+    return ids[at], ends
+
+
+def _parted(words: pa.Array) -> tuple[pa.Array, np.ndarray, list[str]]:
+    """Different words as the tokenizer parts them: letters (or, where they are
+    not plain, the whole word), which words end in signs, and these signs."""
+    stems = pc.ascii_rtrim(words, characters=_SIGNS)
+    plain = pc.ascii_is_alpha(stems)
+    signs = (pc.binary_length(words).to_numpy(zero_copy_only=False)
+             - pc.binary_length(stems).to_numpy(zero_copy_only=False))
+    cut = plain.to_numpy(zero_copy_only=False)
+    other = np.flatnonzero(~cut & (signs > 0))
+    cut[other] = [_one_piece(s) for s in _listed(stems.take(pa.array(other)))]
+    keys = pc.if_else(pa.array(cut), stems, words)
+    # The tokenizer lower-cases ASCII letters, but for special ids.
+    lower = pc.and_not(pc.string_is_ascii(keys), pc.match_substring(keys, _SPECIAL))
+    keys = pc.if_else(lower, pc.ascii_lower(keys), keys)
+    ending = np.flatnonzero(cut & (signs > 0))
+    tails = [w[-n:] for w, n in zip(_listed(words.take(pa.array(ending))), signs[ending].tolist(), strict=True)]
+    return keys, ending, tails
+
+
 def _encoded(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """All ids of some texts, and where each text's begin (and the end)."""
     if path not in _known:
         _known[path] = _Words(path)
-    lists = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
-    flat = lists.flatten()
-    # ASCII letters are lower-cased by the tokenizer; other words stay as they are.
-    flat = pc.if_else(pc.string_is_ascii(flat), pc.ascii_lower(flat), flat)
-    coded = pc.dictionary_encode(flat)
     known = _known[path]
-    row = known.rows(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)] if len(flat) else np.zeros(0, np.int32)
-    first = known.start[row]
-    size = known.start[row + 1] - first
-    ends = np.r_[0, np.cumsum(size, dtype=np.int64)]
-    # A step of one inside a word, a jump from the end of one to the next.
-    step = np.ones(ends[-1], np.int32)
-    full = np.flatnonzero(size)
-    if len(full):
-        step[ends[full]] = first[full]
-        step[ends[full[1:]]] -= first[full[:-1]] + size[full[:-1]] - 1
-    ids = known.ids[np.cumsum(step, dtype=np.int32)]
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+    words = pc.dictionary_encode(lists.flatten())
+    n = len(words.dictionary)
+    keys, ending, tails = _parted(words.dictionary)
+    coded = pc.dictionary_encode(pa.concat_arrays([keys, pa.array(tails, pa.large_string())]))
+    row = known.rows(_listed(coded.dictionary))[coded.indices.to_numpy(zero_copy_only=False)]
+    # Ids of the different words: each one's key, then its signs.
+    first, size = np.zeros(2 * n, np.int32), np.zeros(2 * n, np.int32)
+    for place, rows in ((2 * np.arange(n), row[:n]), (2 * ending + 1, row[n:])):
+        first[place], size[place] = known.start[rows], known.start[rows + 1] - known.start[rows]
+    ids, ends = _gathered(known.ids, first, size)
+    ends = ends[::2]
+    word = words.indices.to_numpy(zero_copy_only=False)
+    ids, ends = _gathered(ids, ends[word], np.diff(ends)[word])
     return ids, ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
 
 
@@ -197,7 +244,9 @@ def tokenise(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text:
                 # Each text's ids and its end id.
                 at = at + np.arange(n + 1)
                 data = np.full(at[-1], end_id, "<u4")
-                data[np.delete(np.arange(at[-1]), at[1:] - 1)] = ids
+                inside = np.ones(at[-1], bool)
+                inside[at[1:] - 1] = False
+                data[inside] = ids
                 size = np.diff(at)
                 count = -(-size // capacity)
                 doc = np.repeat(np.arange(n), count)
@@ -205,7 +254,7 @@ def tokenise(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text:
                 start = piece * capacity
                 length = np.minimum(capacity, size[doc] - start)
                 place = at[doc] + start
-                view = memoryview(data.tobytes())
+                view = memoryview(data).cast("B")
                 parts = [view[4 * a:4 * (a + m)] for a, m in zip(place.tolist(), length.tolist(), strict=True)]
                 columns = [batch.column(0).take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start),
                            pa.array(length), pa.array([zlib.crc32(x) for x in parts], pa.int64())]
